@@ -12,7 +12,7 @@ def hot_keys(df: DataFrame, key: str, min_rows: int, max_keys: int = 100_000) ->
     A key beyond the list holds under ``1 / max_keys`` of all rows.
     """
     counts = df.groupBy(F.col(key).alias("_hot_key")).agg(F.count("*").alias("_rows"))
-    return counts.where(F.col("_rows") >= min_rows).orderBy(F.desc("_rows"), "_hot_key").limit(max_keys).select("_hot_key")
+    return counts.where(F.col("_rows") >= min_rows).orderBy(F.desc("_rows"), "_hot_key").limit(max_keys).select("_hot_key", F.lit(True).alias("_hot"))
 
 
 def _seconds(df: DataFrame, ts: str) -> Column:
@@ -28,45 +28,38 @@ def drops(
     """Rows whose value is ``fall`` or more below the highest of the ``last - 1`` rows before, per entity by (ts, seq).
 
     An entity with ``hot_rows`` rows or more is cut into time slices that run as
-    separate groups; each slice gets the last values of the slices before it.
+    separate groups; each slice starts with a copy of the last rows before it.
     """
     back = last - 1
     hot = F.broadcast(hot_keys(df, entity, hot_rows))
     rows = (
         df.select(seq, ts, entity, value)
         .join(hot, F.col(entity).eqNullSafe(F.col("_hot_key")), "left")
-        .withColumn("_hot", F.col("_hot_key").isNotNull())
+        .withColumn("_hot", F.coalesce("_hot", F.lit(False)))
         .withColumn("_slice", F.when(F.col("_hot"), F.floor(_seconds(df, ts) / slice_seconds)).otherwise(0))
+        .drop("_hot_key")
     )
-    group = Window.partitionBy(entity, "_slice")
-    forward = group.orderBy(ts, seq)
-    inside = rows.withColumn("_place", F.row_number().over(forward)).withColumn(
-        "_best", F.max(value).over(forward.rowsBetween(-back, -1))
-    )
-
-    newest = group.orderBy(F.desc(ts), F.desc(seq))
+    newest = Window.partitionBy(entity, "_slice").orderBy(F.desc(ts), F.desc(seq))
     tails = (
         rows.where("_hot")
         .withColumn("_rank", F.row_number().over(newest))
         .where(F.col("_rank") <= back)
         .groupBy(entity, "_slice")
-        .agg(F.sort_array(F.collect_list(F.struct("_rank", F.col(value).alias("_v")))).alias("_tail"))
+        .agg(F.sort_array(F.collect_list(F.struct("_rank", seq, ts, value))).alias("_tail"))
     )
-    # nearest earlier slice first, newest value first inside it
-    before = Window.partitionBy(entity).orderBy(F.desc("_slice")).rowsBetween(1, back)
-    carried = tails.select(
-        F.col(entity).alias("_entity"),
-        F.col("_slice").alias("_of"),
-        F.slice(F.flatten(F.collect_list(F.col("_tail._v")).over(before)), 1, back).alias("_carry"),
-    )
-
-    missing = F.lit(back) - (F.col("_place") - 1)
-    from_before = F.when(missing > 0, F.array_max(F.slice("_carry", F.lit(1), missing)))
-    joined = inside.join(
-        carried, F.col(entity).eqNullSafe(F.col("_entity")) & (F.col("_slice") == F.col("_of")), "left"
+    # Nearest earlier slice first, newest row first inside it: the leading ones are the rows just before the slice.
+    earlier = Window.partitionBy(entity).orderBy(F.desc("_slice")).rowsBetween(1, back)
+    carried = (
+        tails.withColumn("_c", F.slice(F.flatten(F.collect_list("_tail").over(earlier)), 1, back))
+        .select(entity, "_slice", F.explode("_c").alias("_c"))
+        .select(f"_c.{seq}", f"_c.{ts}", entity, f"_c.{value}", "_slice", F.lit(True).alias("_carried"))
     )
+    before = Window.partitionBy(entity, "_slice").orderBy(ts, seq).rowsBetween(-back, -1)
     return (
-        joined.withColumn("prev_max", F.greatest("_best", from_before))
-        .where(F.col("prev_max") - F.col(value) >= fall)
+        rows.drop("_hot")
+        .withColumn("_carried", F.lit(False))
+        .unionByName(carried)
+        .withColumn("prev_max", F.max(value).over(before))
+        .where(~F.col("_carried") & (F.col("prev_max") - F.col(value) >= fall))
         .select(seq, entity, "prev_max", value)
     )

@@ -10,7 +10,7 @@ from millrace.operators import log
 from millrace.operators.facts import outcome_dim, with_dates
 from millrace.plans.registry import staged, table
 from millrace.sources.files import scan_events
-from millrace.sources.layout import write_files, write_partitioned, write_text
+from millrace.sources.layout import write_dim, write_files, write_partitioned, write_text
 
 LINEITEM_DDL = (
     "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
@@ -79,7 +79,7 @@ def outcomes(spark: SparkSession, data: str) -> str:
 
     def build(path: str) -> None:
         dim = outcome_dim(table(spark, data, "events"), "event_type", "error|signup", ["purchase"])
-        write_files(dim, path, 1)
+        write_dim(dim, path)
 
     return staged(spark, data, "outcome_dim", build)
 

@@ -47,6 +47,11 @@ def write_files(df: DataFrame, path: str, n: int, shuffle: bool = True) -> None:
     in_files(df, n, shuffle).write.mode("overwrite").parquet(path)
 
 
+def write_dim(df: DataFrame, path: str) -> None:
+    """A dimension in one file; one that outgrows a file of advisory size gets more."""
+    df.hint("rebalance").write.mode("overwrite").parquet(path)
+
+
 def write_text(df: DataFrame, path: str, n: int) -> None:
     in_files(df, n).write.mode("overwrite").text(path)
 

@@ -1,0 +1,122 @@
+import datetime as dt
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.operators import log
+from millrace.operators.joins import difference
+
+
+def records(spark, first, n):
+    start = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+    rows = [
+        (i, f"user{i % 5}", "abc"[i % 3], f'{{"id":"{i}","type":"{"abc"[i % 3]}","payload_bytes":{i}}}', start + dt.timedelta(hours=i))
+        for i in range(first, first + n)
+    ]
+    return spark.createDataFrame(rows, "seq BIGINT, entity STRING, type STRING, value STRING, timestamp TIMESTAMP")
+
+
+@pytest.fixture(scope="module")
+def topic(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("log") / "t")
+    log.produce(records(spark, 0, 90), path, 4)
+    log.produce(records(spark, 90, 30), path, 4)
+    return path
+
+
+def ends(spark, topic):
+    return {r.partition: r.end_offset for r in log.end_offsets(spark, topic).collect()}
+
+
+def test_offsets_go_on_over_appends(spark, topic):
+    rows = log.read_log(spark, topic)
+    assert rows.columns == log.LOG_COLUMNS
+    for p in range(4):
+        mine = rows.where(F.col("partition") == p).orderBy("offset").collect()
+        assert [r.offset for r in mine] == list(range(30))
+        ids = [int(r.id) for r in log.decode(rows.where(F.col("partition") == p)).orderBy("offset").select("event.id").collect()]
+        assert ids == sorted(ids)
+    assert ends(spark, topic) == {p: 30 for p in range(4)}
+    assert all(r.matches for r in log.reconcile(rows, log.end_offsets(spark, topic)).collect())
+
+
+def test_bounds(spark, topic):
+    part = log.read_log(spark, topic, {0: 5, 1: 29}, {0: 8, 1: 30, 2: 30})
+    assert sorted((r.partition, r.offset) for r in part.collect()) == [(0, 5), (0, 6), (0, 7), (1, 29)]
+
+
+def test_slices_repeat(spark, topic):
+    rows = log.read_log(spark, topic)
+    first, again = (log.read_slice(rows, 2, 10, 5) for _ in range(2))
+    assert [r.offset for r in first.collect()] == [10, 11, 12, 13, 14]
+    assert difference(first, again).count() == 0
+    other = log.read_slice(rows, 1, 10, 5)
+    assert {r.value for r in first.collect()}.isdisjoint({r.value for r in other.collect()})
+
+
+def test_key_keeps_to_one_partition(spark, tmp_path):
+    path = str(tmp_path / "keyed")
+    log.produce(records(spark, 0, 60), path, 4, key="entity")
+    rows = log.read_log(spark, path)
+    assert {r.partitions for r in log.partitions_per_key(rows).collect()} == {1}
+    assert sum(r.keys for r in log.keys_per_partition(rows).collect()) == 5
+    assert sum(ends(spark, path).values()) == 60
+
+
+def test_more_partitions_than_keys(spark):
+    wide = {r.partitions: r for r in log.reassign(records(spark, 0, 60), "type", (4, 40)).collect()}
+    assert wide[40].used <= 3 and wide[4].used <= 3
+    assert all(r.records == 60 and r.distinct_keys == 3 for r in wide.values())
+
+
+def test_profile_of_an_empty_partition(spark, tmp_path):
+    path = str(tmp_path / "typed")
+    log.produce(records(spark, 0, 60), path, 8, key="type")
+    rows = log.log_profile(log.read_log(spark, path), 8).orderBy("partition").collect()
+    assert len(rows) == 8 and math.isinf(rows[0].max_min_ratio)
+    assert sum(r.records for r in rows) == 60 and abs(sum(r.share for r in rows) - 100) < 0.5
+    even = log.log_profile(log.with_offsets(log.assign(records(spark, 0, 60), 4), "seq"), 4).collect()
+    assert {(r.records, r.share, r.max_min_ratio) for r in even} == {(15, 25.0, 1.0)}
+
+
+def test_retention_moves_the_front_only(spark, topic):
+    rows, tops = log.read_log(spark, topic), log.end_offsets(spark, topic)
+    day = log.expire(rows, None, 24 * 3600)
+    assert day.count() == 25  # the newest record and those at most a day older
+    at = {r.partition: (r.earliest_offset, r.end_offset) for r in log.earliest_offsets(day, tops).collect()}
+    assert at == {0: (24, 30), 1: (24, 30), 2: (24, 30), 3: (23, 30)}
+    later = F.lit(dt.datetime(2030, 1, 1))
+    gone = log.expire(rows, later, 1)
+    assert {(r.earliest_offset, r.end_offset) for r in log.earliest_offsets(gone, tops).collect()} == {(30, 30)}
+    kept = log.retention_bytes(rows, 24 * 3600)
+    assert kept.agg(F.sum("bytes")).first()[0] == day.agg(F.sum(F.octet_length("value"))).first()[0]
+
+
+def test_groups_commit_lag_and_reset(spark, topic):
+    rows, tops = log.read_log(spark, topic), log.end_offsets(spark, topic)
+    none = spark.createDataFrame([], "`group` STRING, partition INT, current BIGINT")
+    groups = spark.createDataFrame([("a",), ("b",), ("new",)], "`group` STRING")
+
+    def lag(committed):
+        return {(r.group, r.partition): (r.current, r.lag) for r in log.lag(committed, tops, groups, 4).collect()}
+
+    committed = log.commit(none, "a", rows)
+    committed = log.commit(committed, "b", log.read_slice(rows, 0, 0, 20))
+    seen = lag(committed)
+    assert len(seen) == 12
+    assert seen["a", 3] == (30, 0) and seen["b", 0] == (20, 10) and seen["b", 1] == (0, 30) and seen["new", 2] == (0, 30)
+    committed = log.commit(committed, "b", log.read_slice(rows, 0, 5, 3))
+    assert lag(committed)["b", 0] == (20, 10)
+    back = lag(log.reset(committed, "a", log.earliest_offsets(rows, tops)))
+    assert all(back["a", p] == (0, 30) for p in range(4)) and back["b", 0] == (20, 10)
+
+
+def test_lost_append_leaves_a_gap(spark, tmp_path):
+    path = str(tmp_path / "gap")
+    log.produce(records(spark, 0, 8), path, 4)
+    taken = spark.createDataFrame([(0, 5)], log.ENDS_SCHEMA)  # offsets taken by an append that died
+    taken.write.mode("append").parquet(f"{path}/ends")
+    log.produce(records(spark, 8, 8), path, 4)
+    mine = [r.offset for r in log.read_log(spark, path).where("partition = 0").orderBy("offset").collect()]
+    assert mine == [0, 1, 5, 6]
