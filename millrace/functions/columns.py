@@ -28,11 +28,14 @@ def clean(c: Column, fallback: Column | str) -> Column:
     return F.coalesce(F.nullif(trimmed, F.lit("")), F.lit(fallback))
 
 
-def words(c: str) -> Column:
-    """Lowercase, split on white space, without punctuation at the ends; may hold empty strings."""
-    edge = f"[{TOKEN_EDGES}]+"
-    pieces = F.split(F.lower(c), r"(?U)\s+")
-    return F.transform(pieces, lambda w: F.regexp_replace(w, f"^{edge}|{edge}$", ""))
+def raw_words(c: str) -> Column:
+    """Lowercase, split on white space."""
+    return F.split(F.lower(c), r"(?U)\s+")
+
+
+def bare(word: str) -> Column:
+    """A word without the punctuation at its ends; may be empty."""
+    return F.btrim(F.col(word), F.lit(TOKEN_EDGES))
 
 
 def salt(columns: Sequence[str], measure: str | None, n: int) -> Column:

@@ -154,8 +154,15 @@ def log_profile(log: DataFrame, n: int) -> DataFrame:
 
 
 def read_slice(log: DataFrame, partition: int, offset: int, most: int) -> DataFrame:
-    """Up to ``most`` records of one partition from ``offset`` on, in order."""
-    return log.where((F.col("partition") == partition) & (F.col("offset") >= offset)).orderBy("offset").limit(most)
+    """Up to ``most`` records of one partition from ``offset`` on, in order.
+
+    Without gaps they are the next ``most`` offsets, and only their part of the
+    partition is read; else the rest of the partition is searched.
+    """
+    rest = log.where((F.col("partition") == partition) & (F.col("offset") >= offset))
+    near = rest.where(F.col("offset") < offset + most)
+    rows = near if near.count() == most else rest
+    return rows.orderBy("offset").limit(most)
 
 
 def keys_per_partition(log: DataFrame) -> DataFrame:

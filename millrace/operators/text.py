@@ -7,12 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import words
+from millrace.functions.columns import bare, raw_words
 
 
 def tokens(df: DataFrame, c: str) -> DataFrame:
-    """One row per token of ``c``; see ``words`` for the rule."""
-    return df.select(F.explode(words(c)).alias("word")).where(F.col("word") != "")
+    """One row per token: lowercase, split on white space, stripped of punctuation at both ends, not empty."""
+    return df.select(F.explode(raw_words(c)).alias("raw")).select(bare("raw").alias("word")).where(F.col("word") != "")
 
 
 def word_count(df: DataFrame, c: str) -> DataFrame:
@@ -26,9 +26,9 @@ def word_count_grouped(df: DataFrame, c: str, stable: Sequence[str], spread: int
     The ``stable`` columns that name a text and the token's place in it spread a
     frequent word over ``spread`` groups.
     """
-    placed = df.select(*stable, F.posexplode(words(c)).alias("place", "word")).where(F.col("word") != "")
     slot = F.pmod(F.hash(*stable, "place"), F.lit(spread))
-    moved = placed.select("word", slot.alias("slot")).repartition("word", "slot")
+    placed = df.select(*stable, F.posexplode(raw_words(c)).alias("place", "raw"))
+    moved = placed.select(bare("raw").alias("word"), slot.alias("slot")).where(F.col("word") != "").repartition("word", "slot")
     per_slot = moved.groupBy("word", "slot").agg(F.count("*").alias("n"))
     return per_slot.groupBy("word").agg(F.sum("n").alias("n"))
 

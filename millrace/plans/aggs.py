@@ -14,6 +14,7 @@ from millrace.plans import inputs
 from millrace.plans.registry import query, rounded, table
 from millrace.plans.rows import TOKENS_SQL
 from millrace.sources import files
+from millrace.sources.layout import spread
 
 FAST = ("l_returnflag", "l_quantity", "l_extendedprice", 40.0)
 FAST_SQL = """
@@ -206,17 +207,17 @@ def corpus_of(spark, data):
 
 @query("tokenise", TOKENS_SQL)
 def tokenise(spark, data):
-    return txt.tokens(table(spark, data, "documents"), "text").groupBy("word").agg(F.count("*").alias("n"))
+    return txt.tokens(spread(table(spark, data, "documents")), "text").groupBy("word").agg(F.count("*").alias("n"))
 
 
 @query("wc_combine", TOKENS_SQL)
 def wc_combine(spark, data):
-    return txt.word_count(table(spark, data, "documents"), "text")
+    return txt.word_count(spread(table(spark, data, "documents")), "text")
 
 
 @query("wc_collect", TOKENS_SQL)
 def wc_collect(spark, data):
-    return txt.word_count_grouped(table(spark, data, "documents"), "text", ["doc_id"])
+    return txt.word_count_grouped(spread(table(spark, data, "documents")), "text", ["doc_id"])
 
 
 @query(
@@ -224,12 +225,12 @@ def wc_collect(spark, data):
     f"SELECT route, count(*) AS n_words FROM ({TOKENS_SQL}), (VALUES ('combine'), ('grouped')) r(route) GROUP BY route",
 )
 def wc_distinct(spark, data):
-    return txt.distinct_words(table(spark, data, "documents"), "text", ["doc_id"])
+    return txt.distinct_words(spread(table(spark, data, "documents")), "text", ["doc_id"])
 
 
 @query("wc_frequent", f"SELECT word, n FROM ({TOKENS_SQL}) WHERE n > 100")
 def wc_frequent(spark, data):
-    return agg.frequent(txt.tokens(table(spark, data, "documents"), "text"), "word", 101)
+    return agg.frequent(txt.tokens(spread(table(spark, data, "documents")), "text"), "word", 101)
 
 
 @query(
@@ -237,4 +238,4 @@ def wc_frequent(spark, data):
     f"SELECT word, n, row_number() OVER (ORDER BY n DESC, word) AS pos FROM ({TOKENS_SQL}) ORDER BY n DESC, word LIMIT 20",
 )
 def wc_topk(spark, data):
-    return top_k(txt.word_count(table(spark, data, "documents"), "text"), 20, [F.desc("n"), F.col("word")])
+    return top_k(txt.word_count(spread(table(spark, data, "documents")), "text"), 20, [F.desc("n"), F.col("word")])

@@ -10,7 +10,7 @@ from millrace.operators import log
 from millrace.operators.facts import outcome_dim, with_dates
 from millrace.plans.registry import staged, table
 from millrace.sources.files import scan_events
-from millrace.sources.layout import write_dim, write_files, write_partitioned, write_text
+from millrace.sources.layout import spread, write_dim, write_files, write_partitioned, write_text
 
 LINEITEM_DDL = (
     "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
@@ -34,14 +34,14 @@ def with_ship_date(df: DataFrame) -> DataFrame:
 
 def lineitem_csv(spark: SparkSession, data: str) -> str:
     def build(path: str) -> None:
-        table(spark, data, "lineitem").write.option("header", True).csv(path)
+        spread(table(spark, data, "lineitem")).write.option("header", True).csv(path)
 
     return staged(spark, data, "lineitem_csv", build)
 
 
 def lineitem_csv_gzip(spark: SparkSession, data: str) -> str:
     def build(path: str) -> None:
-        table(spark, data, "lineitem").write.option("header", True).option("compression", "gzip").csv(path)
+        spread(table(spark, data, "lineitem")).write.option("header", True).option("compression", "gzip").csv(path)
 
     return staged(spark, data, "lineitem_csv_gzip", build)
 
@@ -95,7 +95,7 @@ def raw_events(spark: SparkSession, data: str) -> str:
     """Gzip JSON lines made of the events table, with missing fields, blank and broken lines."""
 
     def build(path: str) -> None:
-        e = table(spark, data, "events")
+        e = spread(table(spark, data, "events"))
         i = F.col("event_id")
         line = F.to_json(
             F.struct(

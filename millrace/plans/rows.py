@@ -9,6 +9,7 @@ from millrace.operators.ranking import numbered, top_k
 from millrace.operators.text import word_count
 from millrace.plans import inputs
 from millrace.plans.registry import query, table
+from millrace.sources.layout import spread
 
 TOKENS_SQL = """
 SELECT w AS word, count(*) AS n
@@ -121,7 +122,7 @@ def sort_desc(spark, data):
     f"SELECT n, word, row_number() OVER (ORDER BY n DESC, word) AS pos FROM ({TOKENS_SQL}) ORDER BY n DESC, word LIMIT 10",
 )
 def sort_swap_top10(spark, data):
-    swapped = word_count(table(spark, data, "documents"), "text").select("n", "word")
+    swapped = word_count(spread(table(spark, data, "documents")), "text").select("n", "word")
     return top_k(swapped, 10, [F.desc("n"), F.col("word")])
 
 

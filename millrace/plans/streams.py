@@ -15,8 +15,8 @@ from millrace.streaming import streams
 N = inputs.LOG_PARTITIONS
 
 
-def _events(spark, data):
-    return streams.stream_files(spark, data, table(spark, data, "events").schema, glob="events.parquet")
+def _events(spark, data, **limits):
+    return streams.stream_files(spark, data, table(spark, data, "events").schema, glob="events.parquet", **limits)
 
 
 def _ids(spark, out):
@@ -99,7 +99,7 @@ def stream_hourly_sink(spark, data):
 @query("stream_alert", ALERT_SQL)
 def stream_alert(spark, data):
     root = shared_path(spark, "stream_alert")
-    alarms = streams.stream_drops(_events(spark, data), "user_id", "ts", "event_id", "value")
+    alarms = streams.stream_drops(_events(spark, data, bytes_per_batch=512 << 20), "user_id", "ts", "event_id", "value")
     streams.consume(alarms, f"{root}/out", f"{root}/checkpoint")
     return spark.read.parquet(f"{root}/out")
 

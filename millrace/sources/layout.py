@@ -29,6 +29,16 @@ def task_count(rows: int, n: int, rows_per_task: int = ROWS_PER_TASK) -> int:
     return max(n, ceil(rows / rows_per_task))
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A stored table in fewer splits than cores, dealt out over the cores; for work that costs more than moving it.
+
+    A table with enough splits stays as it is. Only for plain scans: the number of
+    splits of a derived frame is not known before it runs.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def in_files(df: DataFrame, n: int, shuffle: bool = True, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """``df`` in ``n`` partitions; a table too large for ``n`` tasks gets more.
 

@@ -20,15 +20,21 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from millrace.operators.log import LOG_SCHEMA
 
 
+BATCH_BYTES = 64 << 30
+
+
 def stream_files(
-    spark: SparkSession, path: str, schema: T.StructType | str, glob: str | None = None, files_per_batch: int | None = None
+    spark: SparkSession, path: str, schema: T.StructType | str, glob: str | None = None,
+    files_per_batch: int | None = None, bytes_per_batch: int = BATCH_BYTES,
 ) -> DataFrame:
-    """Parquet files as a stream; ``files_per_batch`` paces it and bounds what one batch holds."""
+    """Parquet files as a stream, oldest first. A batch holds ``bytes_per_batch``, or ``files_per_batch`` files for a paced replay."""
     reader = spark.readStream.schema(schema)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    else:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
     return reader.parquet(path)
 
 
@@ -94,8 +100,8 @@ def stream_drops(
 ) -> DataFrame:
     """``alerts.drops`` on a stream: the state of an entity is its last ``last - 1`` values.
 
-    Batches must follow time order. A batch holds at most what the source admits
-    per trigger, and so does the share of a hot entity; set that limit.
+    Batches must follow time order. The rows of a hot entity are bounded by what
+    the source admits to a batch: give ``stream_files`` a ``bytes_per_batch`` that one task can sort.
     """
     back = last - 1
 
