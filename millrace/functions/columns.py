@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 # Fixed value: the punctuation a token loses at both ends.
 TOKEN_EDGES = ".,;:!?\"'()"
 
+# All white space that text functions strip.
+BLANKS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+
 
 def row_order(df: DataFrame, first: Sequence[str] = ()) -> list[Column]:
     """A total order: ``first``, then every other column."""
@@ -23,9 +26,10 @@ def not_blank(c: str) -> Column:
 
 def clean(c: Column, fallback: Column | str) -> Column:
     """A key on one line without tabs; the fallback where nothing is left."""
-    one_line = F.translate(c.cast("string"), "\t\n\r", "   ")
-    trimmed = F.regexp_replace(one_line, r"(?U)^\s+|\s+$", "")
-    return F.coalesce(F.nullif(trimmed, F.lit("")), F.lit(fallback))
+    one_line = c.cast("string")
+    for mark in "\t\n\r":
+        one_line = F.replace(one_line, F.lit(mark), F.lit(" "))
+    return F.coalesce(F.nullif(F.btrim(one_line, F.lit(BLANKS)), F.lit("")), F.lit(fallback))
 
 
 def raw_words(c: str) -> Column:

@@ -20,11 +20,6 @@ def top_k(df: DataFrame, k: int, order: Sequence[Column], out: str = "pos") -> D
     return first.withColumn(out, F.row_number().over(Window.orderBy(*order)).cast("long"))
 
 
-def same(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Column:
-    """Join condition where NULL equals NULL."""
-    return reduce(and_, [left[c].eqNullSafe(right[c]) for c in columns])
-
-
 def numbered(df: DataFrame, order: Sequence[Column], within: Sequence[str] = (), out: str = "pos") -> DataFrame:
     """0-based position of every row inside its ``within`` group.
 
@@ -44,10 +39,14 @@ def numbered(df: DataFrame, order: Sequence[Column], within: Sequence[str] = (),
     )
     runs = rows.groupBy("_chunk", *within).agg(F.min("_idx").alias("_first"), F.count("*").alias("_n"))
     earlier = Window.partitionBy(*within).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = runs.select(
-        F.col("_chunk").alias("_c"),
-        *[F.col(c).alias(f"_g_{c}") for c in within],
-        (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"),
+    # Stored, so that its size is known and a small one is broadcast before the rows are shuffled.
+    shifts = stored(
+        runs.select(
+            F.col("_chunk").alias("_c"),
+            *[F.col(c).alias(f"_g_{c}") for c in within],
+            (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"),
+        ),
+        "shifts",
     )
     match = reduce(
         and_, [F.col(c).eqNullSafe(F.col(f"_g_{c}")) for c in within], F.col("_chunk") == F.col("_c")
@@ -85,7 +84,7 @@ def quantiles(df: DataFrame, key: str, value: str, fractions: dict[str, float])
         at = (F.col("_total") - 1) * F.lit(float(p))
         for rank, weight in ((F.floor(at), F.floor(at) + 1 - at), (F.floor(at) + 1, at - F.floor(at))):
             ranks.append(F.struct(F.lit(name).alias("name"), rank.alias("rank"), weight.alias("weight")))
-    wanted = (
+    wanted = stored(  # its size is known then, see numbered
         totals.withColumn("_w", F.explode(F.array(*ranks)))
         .where(
             (F.col("_w.weight") > 0)
@@ -93,7 +92,8 @@ def quantiles(df: DataFrame, key: str, value: str, fractions: dict[str, float])
             & (F.col("_w.rank") < F.col("_base") + F.col("_in"))
         )
         .groupBy(F.col("_k").alias("_wk"), F.col("_chunk").alias("_wc"), "_base")
-        .agg(F.collect_list("_w").alias("_ws"))  # two ranks per fraction at most
+        .agg(F.collect_list("_w").alias("_ws")),  # two ranks per fraction at most
+        "ranks",
     )
     inside = Window.partitionBy("_k", "_chunk").orderBy("_v")
     hits = (

@@ -11,7 +11,7 @@ from millrace.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(8, memory="6g")
+    session = local_session(8, partitions=4, memory="6g")
     yield session
     session.stop()
 
