@@ -81,9 +81,14 @@ def ingest_seasons(
     required: Sequence[str],
     min_rows: int,
 ) -> DataFrame:
-    """Several CSV files with one header as one table, with a column check and a row floor."""
-    table = scan_csv(spark, list(paths), schema=schema)
-    return require_rows(require_columns(table, required), min_rows)
+    """Several CSV files with one header as one table, with a check of each header and a row floor.
+
+    A file whose header differs from ``schema`` fails the read; its columns are never taken by place.
+    """
+    for path in paths:
+        require_columns(scan_csv(spark, path), required)
+    table = spark.read.option("header", True).option("enforceSchema", False).schema(schema).csv(list(paths))
+    return require_rows(table, min_rows)
 
 
 def count_uris(spark: SparkSession, uris: Mapping[str, str]) -> DataFrame:

@@ -104,6 +104,12 @@ def test_numbered(spark, skewed, conf, partitions):
     assert all(r.id == r.pos for r in overall)
 
 
+def test_empty_inputs(spark):
+    none = spark.createDataFrame([], "k STRING, v DOUBLE")
+    assert numbered(none, [F.col("v")], within=["k"]).collect() == []
+    assert agg.five_number(none, "k", "v").collect() == []
+
+
 def test_top_k_needs_no_full_sort(spark):
     top = top_k(spark.range(100), 3, [F.desc("id")])
     assert [(r.id, r.pos) for r in top.orderBy("pos").collect()] == [(99, 1), (98, 2), (97, 3)]

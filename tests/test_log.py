@@ -112,6 +112,13 @@ def test_groups_commit_lag_and_reset(spark, topic):
     assert all(back["a", p] == (0, 30) for p in range(4)) and back["b", 0] == (20, 10)
 
 
+def test_empty_append(spark, tmp_path):
+    path = str(tmp_path / "none")
+    log.produce(records(spark, 0, 1).where("seq < 0"), path, 4)
+    assert ends(spark, path) == {p: 0 for p in range(4)}
+    assert log.read_log(spark, path).collect() == []
+
+
 def test_lost_append_leaves_a_gap(spark, tmp_path):
     path = str(tmp_path / "gap")
     log.produce(records(spark, 0, 8), path, 4)

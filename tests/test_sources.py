@@ -82,6 +82,9 @@ def test_seasons(spark, tmp_path):
     (tmp_path / "b.csv").write_text("des,game_pk\nz,3\n")
     paths = [str(tmp_path / n) for n in ("a.csv", "b.csv")]
     args = (spark, paths, "des STRING, game_pk INT")
+    (tmp_path / "turned.csv").write_text("game_pk,des\n4,w\n")
+    with pytest.raises(Exception, match="header"):
+        files.ingest_seasons(spark, [*paths, str(tmp_path / "turned.csv")], args[2], ["des"], 1).collect()
     assert files.ingest_seasons(*args, ["des"], 3).count() == 3
     with pytest.raises(guards.MissingColumns) as e:
         files.ingest_seasons(*args, ["pitch_type", "des", "at_bat"], 1)
