@@ -113,9 +113,14 @@ def explode_dim(dim: DataFrame, n: int) -> DataFrame:
 
 
 def salted_join(
-    fact: DataFrame, dim: DataFrame, key: str, dim_key: str, stable: Sequence[str], measure: str | None, n: int
+    fact: DataFrame, dim: DataFrame, key: str, dim_key: str, stable: Sequence[str], measure: str | None,
+    n: int | None = None,
 ) -> DataFrame:
-    """Left join on (key, salt): a hot key, NULL too, spreads over ``n`` groups. Two columns, so NULL never matches."""
+    """Left join on (key, salt): a hot key, NULL too, spreads over ``n`` groups. Two columns, so NULL never matches.
+
+    More salts than shuffle partitions only replicate the dimension further; that number is the default.
+    """
+    n = n or int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     f = with_salt(fact, stable, measure, n)
     d = explode_dim(dim, n).withColumnRenamed("_salt", "_dim_salt").hint("merge")
     joined = f.join(d, (F.col(key) == F.col(dim_key)) & (F.col("_salt") == F.col("_dim_salt")), "left")

@@ -4,9 +4,9 @@ from pyspark.sql import functions as F
 
 from millrace.operators import alerts, log
 from millrace.operators.events import pitch_events
+from millrace.operators.joins import difference
 from millrace.plans import inputs
-from millrace.plans.registry import query, rounded, staged, table
-from millrace.session import stored
+from millrace.plans.registry import query, staged, table
 
 N = inputs.LOG_PARTITIONS
 WEEK = 7 * 24 * 3600
@@ -49,24 +49,22 @@ def event_trim_pitch(spark, data):
 
 @query(
     "sink_log_append",
-    f'SELECT partition::INT AS partition, "offset", entity AS key, value FROM ({inputs.RECORD_SQL})'.replace(
-        "event_id % 4 AS partition", "(event_id % 4) AS partition"
-    ),
+    f"""
+SELECT partition::INT AS partition, value,
+       row_number() OVER (PARTITION BY partition ORDER BY ts >= TIMESTAMP '2024-01-16', event_id) - 1 AS "offset"
+FROM ({inputs.RECORD_SQL})
+""",
 )
 def sink_log_append(spark, data):
-    """Two appends, each of half the events; offsets go on where the first one ended."""
+    """Two appends, split in time; offsets go on where the first one ended."""
 
     def build(path):
         e = table(spark, data, "events")
         early = F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")
         for part in (e.where(early), e.where(~early)):
-            # keyed by entity, placed in turn: the key only rides along
             log.produce(inputs.records(part), path, N)
 
-    topic = staged(spark, data, "log_two_appends", build)
-    events = table(spark, data, "events").select(F.col("event_id").cast("string").alias("id"), F.col("user_id").cast("string").alias("key"))
-    both = log.decode(log.read_log(spark, topic)).withColumn("id", F.col("event.id")).drop("key")
-    return both.join(events, "id").select("partition", "offset", "key", "value")
+    return _positions(log.read_log(spark, staged(spark, data, "log_two_appends", build)))
 
 
 @query("scan_log_bounded", f'SELECT partition::INT AS partition, "offset", value FROM ({inputs.RECORD_SQL})')
@@ -141,8 +139,6 @@ def log_read_slice(spark, data):
 @query("log_reread_same", "SELECT 0 AS partition, event_id AS \"offset\", 'left' AS side FROM events WHERE false")
 def log_reread_same(spark, data):
     """The whole log read twice, compared record by record."""
-    from millrace.operators.joins import difference
-
     topic = inputs.log_of(spark, data)
     once, again = (log.read_log(spark, topic) for _ in range(2))
     return difference(once, again).select("partition", "offset", "side")
