@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.operators.ranking import numbered
+from millrace.session import stored
+
 
 def hot_keys(df: DataFrame, key: str, min_rows: int, max_keys: int = 100_000) -> DataFrame:
     """The keys with ``min_rows`` rows or more, the largest ``max_keys`` of them: small enough to broadcast.
@@ -12,54 +15,38 @@ def hot_keys(df: DataFrame, key: str, min_rows: int, max_keys: int = 100_000) ->
     A key beyond the list holds under ``1 / max_keys`` of all rows.
     """
     counts = df.groupBy(F.col(key).alias("_hot_key")).agg(F.count("*").alias("_rows"))
-    return counts.where(F.col("_rows") >= min_rows).orderBy(F.desc("_rows"), "_hot_key").limit(max_keys).select("_hot_key", F.lit(True).alias("_hot"))
-
-
-def _seconds(df: DataFrame, ts: str) -> Column:
-    if df.schema[ts].dataType.typeName() == "timestamp_ntz":
-        return F.expr(f"timestampdiff(SECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', `{ts}`)")
-    return F.unix_seconds(ts)
+    return counts.where(F.col("_rows") >= min_rows).orderBy(F.desc("_rows"), "_hot_key").limit(max_keys).select("_hot_key")
 
 
 def drops(
     df: DataFrame, entity: str, ts: str, seq: str, value: str, last: int = 10, fall: float = 3.0,
-    hot_rows: int = 1_000_000, slice_seconds: int = 60,
+    hot_rows: int = 5_000_000, slice_rows: int = 1_000_000,
 ) -> DataFrame:
     """Rows whose value is ``fall`` or more below the highest of the ``last - 1`` rows before, per entity by (ts, seq).
 
-    An entity with ``hot_rows`` rows or more is cut into time slices that run as
-    separate groups; each slice starts with a copy of the last rows before it.
+    The rows of an entity with ``hot_rows`` or more are numbered and cut into
+    slices of ``slice_rows``, which run as separate groups; each starts with a
+    copy of the last rows of the slice before.
     """
     back = last - 1
-    hot = F.broadcast(hot_keys(df, entity, hot_rows))
-    rows = (
-        df.select(seq, ts, entity, value)
-        .join(hot, F.col(entity).eqNullSafe(F.col("_hot_key")), "left")
-        .withColumn("_hot", F.coalesce("_hot", F.lit(False)))
-        .withColumn("_slice", F.when(F.col("_hot"), F.floor(_seconds(df, ts) / slice_seconds)).otherwise(0))
-        .drop("_hot_key")
-    )
-    newest = Window.partitionBy(entity, "_slice").orderBy(F.desc(ts), F.desc(seq))
-    tails = (
-        rows.where("_hot")
-        .withColumn("_rank", F.row_number().over(newest))
-        .where(F.col("_rank") <= back)
-        .groupBy(entity, "_slice")
-        .agg(F.sort_array(F.collect_list(F.struct("_rank", seq, ts, value))).alias("_tail"))
-    )
-    # Nearest earlier slice first, newest row first inside it: the leading ones are the rows just before the slice.
-    earlier = Window.partitionBy(entity).orderBy(F.desc("_slice")).rowsBetween(1, back)
-    carried = (
-        tails.withColumn("_c", F.slice(F.flatten(F.collect_list("_tail").over(earlier)), 1, back))
-        .select(entity, "_slice", F.explode("_c").alias("_c"))
-        .select(f"_c.{seq}", f"_c.{ts}", entity, f"_c.{value}", "_slice", F.lit(True).alias("_carried"))
-    )
+    if slice_rows < back:
+        raise ValueError("a slice must hold the rows a window looks back on")
+    rows = df.select(seq, ts, entity, value)
+    hot = stored(hot_keys(df, entity, hot_rows), "hot_keys")
+    is_hot = F.col(entity).eqNullSafe(F.col("_hot_key"))
+    grouped = rows.withColumns({"_slice": F.lit(0).cast("long"), "_copy": F.lit(False)})
+    if not hot.isEmpty():
+        listed = F.broadcast(hot)
+        placed = numbered(rows.join(listed, is_hot, "left_semi"), [F.col(ts), F.col(seq)], within=[entity], out="_pos")
+        slice_of = F.floor(F.col("_pos") / slice_rows)
+        own = placed.withColumns({"_slice": slice_of, "_copy": F.lit(False)})
+        ends = placed.where(F.col("_pos") % slice_rows >= slice_rows - back)
+        copies = ends.withColumns({"_slice": slice_of + 1, "_copy": F.lit(True)})
+        cold = grouped.join(listed, is_hot, "left_anti")
+        grouped = cold.unionByName(own.drop("_pos")).unionByName(copies.drop("_pos"))
     before = Window.partitionBy(entity, "_slice").orderBy(ts, seq).rowsBetween(-back, -1)
     return (
-        rows.drop("_hot")
-        .withColumn("_carried", F.lit(False))
-        .unionByName(carried)
-        .withColumn("prev_max", F.max(value).over(before))
-        .where(~F.col("_carried") & (F.col("prev_max") - F.col(value) >= fall))
+        grouped.withColumn("prev_max", F.max(value).over(before))
+        .where(~F.col("_copy") & (F.col("prev_max") - F.col(value) >= fall))
         .select(seq, entity, "prev_max", value)
     )

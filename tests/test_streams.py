@@ -32,19 +32,28 @@ def brute(rows, last=10, fall=3.0):
     return found
 
 
-@pytest.mark.parametrize("hot_rows", [1, 250, 10**9])
-@pytest.mark.parametrize("seconds", [1, 60, 3600])
-def test_drops_equal_brute_force(spark, hot_rows, seconds):
+@pytest.mark.parametrize("hot_rows, slice_rows", [(1, 9), (1, 50), (250, 100), (250, 10**6), (10**9, 50)])
+def test_drops_equal_brute_force(spark, hot_rows, slice_rows):
     rows = made()
     df = spark.createDataFrame(rows, SCHEMA)
-    got = alerts.drops(df, "user_id", "ts", "event_id", "value", hot_rows=hot_rows, slice_seconds=seconds)
+    got = alerts.drops(df, "user_id", "ts", "event_id", "value", hot_rows=hot_rows, slice_rows=slice_rows)
     assert {tuple(r) for r in got.collect()} == brute(rows)
 
 
 def test_drops_on_zoned_timestamps(spark):
     rows = made(100)
     df = spark.createDataFrame(rows, SCHEMA).withColumn("ts", F.col("ts").cast("timestamp"))
-    got = alerts.drops(df, "user_id", "ts", "event_id", "value", hot_rows=1)
+    got = alerts.drops(df, "user_id", "ts", "event_id", "value", hot_rows=1, slice_rows=20)
+    assert {tuple(r) for r in got.collect()} == brute(rows)
+
+
+def test_slices_bound_the_groups(spark):
+    df = spark.createDataFrame(made(300), SCHEMA)
+    with pytest.raises(ValueError):
+        alerts.drops(df, "user_id", "ts", "event_id", "value", slice_rows=8)
+    burst = df.withColumn("ts", F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz"))  # one instant
+    rows = [(i, dt.datetime(2024, 1, 1), user, value) for i, _, user, value in made(300)]
+    got = alerts.drops(burst, "user_id", "ts", "event_id", "value", hot_rows=1, slice_rows=10)
     assert {tuple(r) for r in got.collect()} == brute(rows)
 
 
