@@ -72,10 +72,18 @@ def scan_log_bounded(spark, data):
     return _positions(log.read_log(spark, inputs.log_of(spark, data), "earliest", "latest"))
 
 
-@query("log_assign_keyed")
+@query(
+    "log_assign_keyed",
+    "SELECT user_id::VARCHAR AS entity, count(*) AS records, 1::BIGINT AS partitions, true AS in_range FROM events GROUP BY user_id",
+)
 def log_assign_keyed(spark, data):
+    """What a key promises: all records of an entity are in one of the partitions. Which one is the hash's choice."""
     placed = log.assign(inputs.records(table(spark, data, "events")), N, key="entity")
-    return placed.groupBy("partition").agg(F.count("*").alias("records"), F.count_distinct("entity").alias("keys"))
+    return placed.groupBy("entity").agg(
+        F.count("*").alias("records"),
+        F.count_distinct("partition").alias("partitions"),
+        F.bool_and(F.col("partition").between(0, N - 1)).alias("in_range"),
+    )
 
 
 @query("log_assign_unkeyed", "SELECT event_id, (event_id % 4)::INT AS partition FROM events")
@@ -158,9 +166,17 @@ def log_keys_per_partition(spark, data):
     return log.keys_per_partition(_log(spark, data, "type")[0])
 
 
-@query("log_repartition")
+@query(
+    "log_repartition",
+    """
+SELECT p.partitions, count(DISTINCT event_type) AS distinct_keys, count(*) AS records, true AS capped
+FROM events, (VALUES (4), (40)) p(partitions) GROUP BY p.partitions
+""",
+)
 def log_repartition(spark, data):
-    return log.reassign(table(spark, data, "events"), "event_type", (4, 40))
+    """More partitions do not help beyond the number of keys; how many of them are used is the hash's choice."""
+    wide = log.reassign(table(spark, data, "events"), "event_type", (4, 40))
+    return wide.select("partitions", "distinct_keys", "records", (F.col("used") <= F.col("distinct_keys")).alias("capped"))
 
 
 @query(

@@ -2,10 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from millrace.operators.facts import classify
 from millrace.plans import inputs
 from millrace.plans.registry import query, staged, table
-from millrace.session import shared_path
 from millrace.sources import files
 from millrace.sources.footers import parquet_footers
 from millrace.sources.guards import materialise

@@ -117,8 +117,9 @@ def schema_of(df: DataFrame) -> DataFrame:
     return filled.select(F.explode(F.array(*names)).alias("c")).select("c.*")
 
 
-def _files(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+def _files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob)
+    return reader.load(path)
 
 
 def path_size(spark: SparkSession, path: str) -> DataFrame:
@@ -136,4 +137,4 @@ def path_size(spark: SparkSession, path: str) -> DataFrame:
 
 
 def file_names(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataFrame:
-    return _files(spark, path).where(F.col("path").rlike(glob.replace(".", r"\.").replace("*", ".*") + "$")).select("path")
+    return _files(spark, path, glob).select("path")

@@ -24,6 +24,16 @@ def test_large_table_gets_more_tasks(spark):
     assert layout.in_files(spark.range(1000), 4).rdd.getNumPartitions() == 4
 
 
+def test_spread_only_moves_small_scans(spark, tmp_path, conf):
+    cores = spark.sparkContext.defaultParallelism
+    spark.range(100).coalesce(1).write.parquet(str(tmp_path / "one"))
+    spark.range(100).repartition(3 * cores).write.parquet(str(tmp_path / "many"))
+    conf(files__openCostInBytes=str(128 << 20))
+    one, many = (spark.read.parquet(str(tmp_path / n)) for n in ("one", "many"))
+    assert layout.spread(one).rdd.getNumPartitions() == cores
+    assert "Exchange" not in planned(layout.spread(many))
+
+
 def test_dim_is_one_file(spark, tmp_path):
     layout.write_dim(spark.range(10_000).select((F.col("id") % 7).alias("k")).distinct(), str(tmp_path / "d"))
     assert len(files_in(tmp_path / "d")) == 1
