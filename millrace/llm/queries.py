@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm.encode import tokenizer_path
+from millrace.llm.fertility import judged, with_features
 from millrace.llm.packing import pack
+from millrace.llm.prefix_counts import count_prefixes
 from millrace.llm.registry import ORACLES, QUERIES, query, table
 from millrace.llm.token_files import read_token_files, token_folder, write_token_files
 
@@ -19,6 +21,17 @@ def op3(spark: SparkSession, data: str) -> DataFrame:
     return read_token_files(spark, folder, files)
 
 
+@query("op4_fertility")
+def op4(spark: SparkSession, data: str) -> DataFrame:
+    docs = table(spark, data, "documents").select("doc_id", "lang", "text")
+    return judged(with_features(docs, tokenizer_path("piece_bpe_32k.model"), drop=("text",))).drop("lang")
+
+
+@query("op5_prefix_counts")
+def op5(spark: SparkSession, data: str) -> DataFrame:
+    return count_prefixes(table(spark, data, "documents"), tokenizer_path("byte_bpe_50k.json"), budget=1024)
+
+
 @query("op6_packing")
 def op6(spark: SparkSession, data: str) -> DataFrame:
     return pack(table(spark, data, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=1, length=2048)
