@@ -21,6 +21,7 @@ from pyspark.sql.types import StructType
 
 from millrace.llm.batches import slices, texts
 from millrace.llm.encode import Known
+from millrace.operators.joins import checked_broadcast
 from millrace.session import stored
 
 SYMBOLS = "#*$%&|<>"
@@ -208,8 +209,9 @@ def judged(features: DataFrame, lang: str = "lang", prefix: str = "", bands: Ban
     own = own.select(*(F.col(c).alias(f"_own_{c.lstrip('_')}") for c in own.columns))
     general = general.select(*(F.col(c).alias(f"_all_{c.lstrip('_')}") for c in general.columns))
     here = length_class(col("n_tokens"))
+    own = checked_broadcast(stored(own, "bands"))
     joined = features.join(own, F.col(lang).eqNullSafe(F.col("_own_lang")) & (here == F.col("_own_class")), "left").join(
-        general, here == F.col("_all_class"), "left"
+        F.broadcast(general), here == F.col("_all_class"), "left"  # at most one row for each power of two
     )
     inside = F.lit(True)
     for m, name in (("c", "chars_per_token"), ("e", "entropy")):

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm.encode import tokenizer_path
 from millrace.llm.fertility import judged, with_features
+from millrace.llm.ngram_join import ngram_components
 from millrace.llm.packing import pack
 from millrace.llm.prefix_counts import count_prefixes
 from millrace.llm.registry import ORACLES, QUERIES, query, table
@@ -14,6 +15,36 @@ from millrace.llm.token_files import read_token_files, token_folder, write_token
 __all__ = ["ORACLES", "QUERIES"]
 
 
+_JACCARD_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+grams AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [w]
+         ELSE list_transform(range(1, len(w) - 1), lambda i: w[i:i + 2]) END) AS g
+  FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id
+  JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, x.n, y.n
+  HAVING 100 * count(*) >= 90 * (x.n + y.n - count(*))),
+reach(doc_id, other) AS (
+  SELECT a, b FROM links
+  UNION
+  SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other)
+SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(m.least, d.doc_id)) AS component_id
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id
+LEFT JOIN (SELECT doc_id, min(other) AS least FROM reach GROUP BY doc_id) m ON m.doc_id = d.doc_id
+"""
+
+
+@query("op2_ngram_jaccard", _JACCARD_SQL)
+def op2(spark: SparkSession, data: str) -> DataFrame:
+    return ngram_components(table(spark, data, "documents"), words_each=3, percent=90)
+
+
 @query("op3_token_files")
 def op3(spark: SparkSession, data: str) -> DataFrame:
     folder = token_folder(spark)
