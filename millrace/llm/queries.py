@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.llm.chaining import shared_passages
 from millrace.llm.encode import tokenizer_path
 from millrace.llm.fertility import judged, with_features
 from millrace.llm.ngram_join import ngram_components
@@ -66,3 +67,8 @@ def op5(spark: SparkSession, data: str) -> DataFrame:
 @query("op6_packing")
 def op6(spark: SparkSession, data: str) -> DataFrame:
     return pack(table(spark, data, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=1, length=2048)
+
+
+@query("op10_chaining")
+def op10(spark: SparkSession, data: str) -> DataFrame:
+    return shared_passages(table(spark, data, "documents"))
