@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm.chaining import shared_passages
+from millrace.llm.decontam import contaminated
 from millrace.llm.encode import tokenizer_path
 from millrace.llm.fertility import judged, with_features
+from millrace.llm.licences import find_licences
 from millrace.llm.ngram_join import ngram_components
 from millrace.llm.packing import pack
 from millrace.llm.prefix_counts import count_prefixes
@@ -16,6 +18,11 @@ from millrace.llm.token_files import read_token_files, token_folder, write_token
 __all__ = ["ORACLES", "QUERIES"]
 
 
+@query("op1_decontamination")
+def op1(spark: SparkSession, data: str) -> DataFrame:
+    return contaminated(table(spark, data, "documents"), table(spark, data, "benchmark"))
+
+
 _JACCARD_SQL = r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
@@ -69,6 +76,11 @@ def op6(spark: SparkSession, data: str) -> DataFrame:
     return pack(table(spark, data, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=1, length=2048)
 
 
+@query("op8_licences")
+def op8(spark: SparkSession, data: str) -> DataFrame:
+    return find_licences(table(spark, data, "documents"))
+
+
 @query("op10_chaining")
 def op10(spark: SparkSession, data: str) -> DataFrame:
     return shared_passages(table(spark, data, "documents"))
