@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm.chaining import shared_passages
+from millrace.llm.chat import repair_roles
 from millrace.llm.decontam import contaminated
 from millrace.llm.encode import tokenizer_path
 from millrace.llm.fertility import judged, with_features
@@ -14,6 +15,7 @@ from millrace.llm.packing import pack
 from millrace.llm.prefix_counts import count_prefixes
 from millrace.llm.registry import ORACLES, QUERIES, query, table
 from millrace.llm.token_files import read_token_files, token_folder, write_token_files
+from millrace.llm.wrappers import extract
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -76,11 +78,21 @@ def op6(spark: SparkSession, data: str) -> DataFrame:
     return pack(table(spark, data, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=1, length=2048)
 
 
+@query("op7_wrappers")
+def op7(spark: SparkSession, data: str) -> DataFrame:
+    return extract(table(spark, data, "pages"))
+
+
 @query("op8_licences")
 def op8(spark: SparkSession, data: str) -> DataFrame:
     return find_licences(table(spark, data, "documents"))
 
 
+@query("op9_chat_roles")
+def op9(spark: SparkSession, data: str) -> DataFrame:
+    return repair_roles(table(spark, data, "conversations"))
+
+
 @query("op10_chaining")
 def op10(spark: SparkSession, data: str) -> DataFrame:
     return shared_passages(table(spark, data, "documents"))
