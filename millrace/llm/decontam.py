@@ -33,8 +33,8 @@ class Budget:
 
 
 def plain(text: str) -> str:
-    """Lower case (A-Z), no common punctuation, single spaces; each character stands for one UTF-8 byte."""
-    words = text.encode("utf-8", "surrogatepass").lower().translate(None, _MARKS).split()
+    """Lower case, no common punctuation, single spaces; each character stands for one UTF-8 byte."""
+    words = text.lower().encode("utf-8", "surrogatepass").translate(None, _MARKS).split()
     return b" ".join(words).decode("latin-1")
 
 

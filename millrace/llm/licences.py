@@ -71,6 +71,7 @@ class Templates:
             for g in grams:
                 self.holding.setdefault(g, []).append(n)
         self.first_words = {a for a, _ in self.holding}
+        self.words = {w for g in self.holding for w in g}
 
     def compare(self, words: list[str], found: dict[str, tuple[float, int, int]], place: tuple[int, int]) -> None:
         """Compare one stretch with the templates that share a bigram with it and fit in size."""
@@ -114,6 +115,8 @@ class Templates:
                 if not run:
                     begin = i
                 run += words
+            elif run and words and self.words.issuperset(words):  # a short line within a licence
+                run += words
             elif run and (words or i == len(lines)):  # blank lines do not end a run
                 if i - begin > 1:
                     self.compare(run, found, (begin, i))

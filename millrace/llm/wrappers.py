@@ -35,6 +35,7 @@ CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"},
 }
 KEEPS_OPEN = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"}, "option": {"select"}}
+PLAIN = {"div", "section", "span"}
 NOISE_TAGS = set("head nav footer aside form button select dialog menu search object".split())
 HEAD_TAGS = set("base link meta title".split())
 NOISE_WORDS = set(
@@ -166,11 +167,11 @@ def fingerprint(text: str) -> str:
 
 
 def folded(groups: list) -> list:
-    """Neighbouring groups with one symbol become one repeated group, from the inside out."""
+    """Neighbouring groups with one symbol become one repeated group, from the inside out; containers without a name only if they look alike."""
     out: list = []
     for symbol, optional, repeated, inner in groups:
         inner = folded(inner) if symbol != "#" else inner
-        if out and out[-1][0] == symbol:
+        if out and out[-1][0] == symbol and (symbol not in PLAIN or expression(out[-1][3]) == expression(inner)):
             out[-1] = [symbol, optional and out[-1][1], True, aligned(out[-1][3], inner) if symbol != "#" else None]
         else:
             out.append([symbol, optional, repeated, inner])
@@ -214,21 +215,21 @@ def expression(groups: list) -> str:
 
 @lru_cache(maxsize=256)
 def reading(wrapper: str, pages: int) -> tuple[bool, frozenset[tuple[str, str]]]:
-    """Whether the host marks its main regions, and its texts that never change with the path they have (if it has three pages or more)."""
+    """Whether the host marks its main regions, and the texts that all its pages have alike, with their paths (if there are three pages or more)."""
     fixed: set[tuple[str, str]] = set()
     marked = False
 
-    def walk(groups: list, path: str) -> None:
+    def walk(groups: list, path: str, always: bool) -> None:
         nonlocal marked
-        for symbol, _, _, inner in groups:
+        for symbol, optional, _, inner in groups:
             if symbol == "#":
-                if inner is not None and pages >= 3:
+                if inner is not None and always and not optional and pages >= 3:
                     fixed.add((path, inner))
             elif not is_noise(symbol):
                 marked = marked or is_main(symbol)
-                walk(inner, f"{path}/{symbol}")
+                walk(inner, f"{path}/{symbol}", always and not optional)
 
-    walk(json.loads(wrapper), "")
+    walk(json.loads(wrapper), "", True)
     return marked, frozenset(fixed)
 
 
