@@ -13,11 +13,10 @@ import os
 import re
 from array import array
 from collections.abc import Callable
-from functools import lru_cache
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-KNOWN_PIECES = 600_000
+KNOWN_PIECES = 500_000
 LONGEST_KNOWN = 64
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 
@@ -116,10 +115,19 @@ class Encoder:
         return out
 
 
-@lru_cache(maxsize=4)
+_held: list[tuple[type, str, object]] = []
+
+
+def held(kind: type, path: str):
+    """The worker's one model: asked for another, it drops the one before with all it knows, so stages that follow each other do not add up."""
+    if not _held or _held[0][:2] != (kind, path):
+        _held.clear()
+        _held.append((kind, path, kind(path)))
+    return _held[0][2]
+
+
 def encoder(path: str) -> Encoder:
-    """One encoder per worker process and file."""
-    return Encoder(path)
+    return held(Encoder, path)
 
 
 def tokenizer_path(name: str) -> str:

@@ -11,7 +11,6 @@ from __future__ import annotations
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from millrace.llm.batches import slices, texts
-from millrace.llm.encode import Known
+from millrace.llm.encode import Known, held
 from millrace.operators.joins import checked_broadcast
 from millrace.session import stored
 
@@ -73,9 +72,8 @@ class Pieces:
         return [array("H", ids).tobytes() for ids in found]
 
 
-@lru_cache(maxsize=2)
 def pieces(path: str) -> Pieces:
-    return Pieces(path)
+    return held(Pieces, path)
 
 
 def duplicate_lines(text: str) -> int:

@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator, Sequence
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.batches import batch, slices, texts
-from millrace.llm.encode import KNOWN_PIECES, LONGEST_KNOWN, Known, spaced_alone, spaced_pieces
+from millrace.llm.encode import KNOWN_PIECES, LONGEST_KNOWN, Known, held, spaced_alone, spaced_pieces
 
 LONG_CONTRACTIONS = ("'re", "'ve", "'ll")
 
@@ -54,7 +53,7 @@ class PrefixCounter:
         self.special = [t["content"] for t in spec["added_tokens"]]
         self.pretokens = regex.compile(public_tokenizers.PATTERN).findall
         self.side_by_side: dict[tuple[int, int], bool] = {}
-        self.known = Known(self._learn)
+        self.known = Known(self._learn, 600_000)
         self.words: dict[str, list[int]] = {}
 
     def merged(self, data: bytes) -> list[bytes]:
@@ -166,9 +165,8 @@ class PrefixCounter:
         return out
 
 
-@lru_cache(maxsize=2)
 def prefix_counter(path: str) -> PrefixCounter:
-    return PrefixCounter(path)
+    return held(PrefixCounter, path)
 
 
 def count_at(steps: bytes, characters: int) -> int:
