@@ -61,27 +61,85 @@ OUT_PATTERN = "out|strikeout|double_play|sac_"
 HITS = ["single", "double", "triple", "home_run"]
 
 # Columns a plate appearance keeps, where the fact has them.
-PLATE_APPEARANCE_COLUMNS = """
-game_pk at_bat_number events des description
-batter pitcher stand p_throws home_team away_team
-bb_type hit_location launch_speed launch_angle
-hit_distance_sc estimated_ba_using_speedangle
-estimated_woba_using_speedangle woba_value woba_denom
-babip_value iso_value launch_speed_angle on_1b
-on_2b on_3b outs_when_up inning inning_topbot
-home_score away_score bat_score fld_score
-post_home_score post_away_score post_bat_score
-post_fld_score delta_home_win_exp delta_run_exp
-if_fielding_alignment of_fielding_alignment game_year
-game_month game_date pitch_number balls strikes
-pfx_x pfx_z plate_x plate_z effective_speed
-release_speed sz_top sz_bot vx0 vy0 vz0 ax
-ay az hc_x hc_y spin_axis arm_angle
-attack_angle swing_length bat_speed
-delta_pitcher_run_exp home_win_exp bat_win_exp
-n_thruorder_pitcher release_spin_rate release_extension
-estimated_slg_using_speedangle pitch_name pitch_type
-""".split()
+PLATE_APPEARANCE_COLUMNS = [
+    "game_pk",
+    "at_bat_number",
+    "events",
+    "des",
+    "description",
+    "batter",
+    "pitcher",
+    "stand",
+    "p_throws",
+    "home_team",
+    "away_team",
+    "bb_type",
+    "hit_location",
+    "launch_speed",
+    "launch_angle",
+    "hit_distance_sc",
+    "estimated_ba_using_speedangle",
+    "estimated_woba_using_speedangle",
+    "woba_value",
+    "woba_denom",
+    "babip_value",
+    "iso_value",
+    "launch_speed_angle",
+    "on_1b",
+    "on_2b",
+    "on_3b",
+    "outs_when_up",
+    "inning",
+    "inning_topbot",
+    "home_score",
+    "away_score",
+    "bat_score",
+    "fld_score",
+    "post_home_score",
+    "post_away_score",
+    "post_bat_score",
+    "post_fld_score",
+    "delta_home_win_exp",
+    "delta_run_exp",
+    "if_fielding_alignment",
+    "of_fielding_alignment",
+    "game_year",
+    "game_month",
+    "game_date",
+    "pitch_number",
+    "balls",
+    "strikes",
+    "pfx_x",
+    "pfx_z",
+    "plate_x",
+    "plate_z",
+    "effective_speed",
+    "release_speed",
+    "sz_top",
+    "sz_bot",
+    "vx0",
+    "vy0",
+    "vz0",
+    "ax",
+    "ay",
+    "az",
+    "hc_x",
+    "hc_y",
+    "spin_axis",
+    "arm_angle",
+    "attack_angle",
+    "swing_length",
+    "bat_speed",
+    "delta_pitcher_run_exp",
+    "home_win_exp",
+    "bat_win_exp",
+    "n_thruorder_pitcher",
+    "release_spin_rate",
+    "release_extension",
+    "estimated_slg_using_speedangle",
+    "pitch_name",
+    "pitch_type",
+]
 
 # What an event gets for a missing field.
 NO_ID = "0"

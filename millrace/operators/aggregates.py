@@ -68,8 +68,9 @@ def _spin_by(df: DataFrame, key: str, spin: str) -> DataFrame:
 
 def fast_pairs(df: DataFrame, key: str, speed: str, spin: str, floor: float) -> DataFrame:
     """The same with the mean taken from (sum, count) pairs."""
-    pairs = df.where(F.col(speed) >= floor).groupBy(key).agg(F.sum(spin).alias("_sum"), F.count("*").alias("n"))
-    return pairs.select(key, "n", (F.col("_sum") / F.col("n")).alias("avg_spin"))
+    sums = [F.sum(spin).alias("_sum"), F.count(spin).alias("_filled"), F.count("*").alias("n")]
+    pairs = df.where(F.col(speed) >= floor).groupBy(key).agg(*sums)
+    return pairs.select(key, "n", F.try_divide("_sum", "_filled").alias("avg_spin"))
 
 
 def workload(df: DataFrame, key: str, value: str) -> DataFrame:

@@ -9,22 +9,24 @@ from millrace.operators.ranking import numbered
 from millrace.session import stored
 
 
-def hot_keys(df: DataFrame, key: str, min_rows: int, max_keys: int = 100_000) -> DataFrame:
-    """The keys with ``min_rows`` rows or more, the largest ``max_keys`` of them: small enough to broadcast.
+def hot_keys(df: DataFrame, key: str, share: float | None = None) -> DataFrame:
+    """The keys that hold ``share`` of all rows or more: at most ``1 / share`` keys, so small enough to broadcast.
 
-    A key beyond the list holds under ``1 / max_keys`` of all rows.
+    By default a quarter of what a shuffle partition holds on average.
     """
+    share = share or 0.25 / int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counts = df.groupBy(F.col(key).alias("_hot_key")).agg(F.count("*").alias("_rows"))
-    return counts.where(F.col("_rows") >= min_rows).orderBy(F.desc("_rows"), "_hot_key").limit(max_keys).select("_hot_key")
+    total = df.agg(F.count("*")).scalar()
+    return counts.where(F.col("_rows") >= total * share).select("_hot_key")
 
 
 def drops(
     df: DataFrame, entity: str, ts: str, seq: str, value: str, last: int = 10, fall: float = 3.0,
-    hot_rows: int = 5_000_000, slice_rows: int = 1_000_000,
+    share: float | None = None, slice_rows: int = 1_000_000,
 ) -> DataFrame:
     """Rows whose value is ``fall`` or more below the highest of the ``last - 1`` rows before, per entity by (ts, seq).
 
-    The rows of an entity with ``hot_rows`` or more are numbered and cut into
+    The rows of an entity with ``share`` of all rows or more (see ``hot_keys``) are numbered and cut into
     slices of ``slice_rows``, which run as separate groups; each starts with a
     copy of the last rows of the slice before.
     """
@@ -32,7 +34,7 @@ def drops(
     if slice_rows < back:
         raise ValueError("a slice must hold the rows a window looks back on")
     rows = df.select(seq, ts, entity, value)
-    hot = stored(hot_keys(df, entity, hot_rows), "hot_keys")
+    hot = stored(hot_keys(df, entity, share), "hot_keys")
     is_hot = F.col(entity).eqNullSafe(F.col("_hot_key"))
     grouped = rows.withColumns({"_slice": F.lit(0).cast("long"), "_copy": F.lit(False)})
     if not hot.isEmpty():

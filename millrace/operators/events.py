@@ -18,7 +18,7 @@ def _records(fields: DataFrame) -> DataFrame:
 
 
 def trim_events(raw: DataFrame) -> DataFrame:
-    """Nested events (see ``EVENT_SCHEMA``) cut down to the fields consumers read, with defaults for missing ones."""
+    """Nested events (see ``scan_events``) cut down to the fields consumers read, with defaults for missing ones."""
     fields = raw.select(
         clean(F.col("id"), fixed.NO_ID).alias("id"),
         clean(F.col("type"), fixed.NO_TYPE).alias("type"),
@@ -26,7 +26,7 @@ def trim_events(raw: DataFrame) -> DataFrame:
         clean(F.col("repo.name"), fixed.NO_REPO).alias("repo"),
         clean(F.col("created_at"), fixed.NO_TIME).alias("created_at"),
         F.coalesce("public", F.lit(True)).alias("public"),
-        F.length(F.coalesce("payload", F.lit("{}"))).alias("payload_bytes"),
+        F.octet_length(F.coalesce("payload", F.lit("{}"))).alias("payload_bytes"),
     )
     return _records(fields)
 
@@ -50,6 +50,6 @@ def pitch_events(
         repo.alias("repo"),
         F.concat(clean(F.col(date), fixed.NO_DATE), F.lit("T00:00:00Z")).alias("created_at"),
         F.lit(True).alias("public"),
-        F.length(row).alias("payload_bytes"),
+        F.octet_length(row).alias("payload_bytes"),
     )
     return _records(fields)

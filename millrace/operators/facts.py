@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import fixed_values as fixed
 from millrace.functions.columns import at_least_udf, not_blank, row_order
+from millrace.operators.joins import checked_broadcast
 from millrace.sources.files import inline
 from millrace.sources.guards import require_columns
 
@@ -36,11 +37,14 @@ def distinct_values(df: DataFrame, c: str) -> DataFrame:
     return df.select(c).where(F.col(c).isNotNull()).distinct()
 
 
-def classify(df: DataFrame, code: str, labels: Sequence[tuple[str, str, str]], label: str, family: str) -> DataFrame:
-    """Add label and family of a code; codes not listed are ``Unclassified (code)``, ``other``."""
-    if len(labels) > 10_000:
-        raise ValueError("too many literal labels; store them as a table and join it")
-    lookup = F.broadcast(inline(df.sparkSession, labels, f"_code STRING, {label} STRING, {family} STRING"))
+def classify(df: DataFrame, code: str, labels: Sequence[tuple[str, str, str]] | DataFrame, label: str, family: str) -> DataFrame:
+    """Add label and family of a code; codes not listed are ``Unclassified (code)``, ``other``.
+
+    ``labels`` are literal rows or a stored table of code, label and family, of any size.
+    """
+    if not isinstance(labels, DataFrame):
+        labels = inline(df.sparkSession, labels, "_code STRING, _label STRING, _family STRING")
+    lookup = checked_broadcast(labels.toDF("_code", label, family))
     joined = df.join(lookup, F.col(code) == F.col("_code"), "left").drop("_code")
     unknown = F.concat(F.lit("Unclassified ("), F.col(code), F.lit(")"))
     return joined.withColumns(

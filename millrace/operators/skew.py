@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from millrace.functions.columns import hash_partition, salt
 from millrace.operators.aggregates import workload
+from millrace.operators.alerts import hot_keys
 from millrace.operators.joins import by_flag, join_outcome
-from millrace.sources.layout import task_count
+from millrace.session import stored
 
 PARTITIONS = 16
 
@@ -114,17 +115,22 @@ def explode_dim(dim: DataFrame, n: int) -> DataFrame:
 
 def salted_join(
     fact: DataFrame, dim: DataFrame, key: str, dim_key: str, stable: Sequence[str], measure: str | None,
-    n: int | None = None,
+    n: int | None = None, share: float | None = None,
 ) -> DataFrame:
-    """Left join on (key, salt): a hot key, NULL too, spreads over ``n`` groups. Two columns, so NULL never matches.
+    """Left join in which each hot key (see ``hot_keys``) spreads over ``n`` groups, and its dimension rows with it.
 
-    More salts than shuffle partitions only replicate the dimension further; that number is the default.
+    All other keys have one salt, so their dimension rows are not copied. Rows with a NULL key cannot match and
+    pass by the join. ``n`` is by default the number of shuffle partitions; more would only copy further.
     """
     n = n or int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    f = with_salt(fact, stable, measure, n)
-    d = explode_dim(dim, n).withColumnRenamed("_salt", "_dim_salt").hint("merge")
-    joined = f.join(d, (F.col(key) == F.col(dim_key)) & (F.col("_salt") == F.col("_dim_salt")), "left")
-    return joined.drop("_salt", "_dim_salt")
+    keyed, bare = fact.where(F.col(key).isNotNull()), fact.where(F.col(key).isNull())
+    hot = F.broadcast(stored(hot_keys(keyed, key, share), "hot_keys"))  # at most one row for each share
+    marked = keyed.join(hot, F.col(key) == F.col("_hot_key"), "left")
+    f = marked.withColumn("_salt", F.when(F.col("_hot_key").isNotNull(), salt(stable, measure, n)).otherwise(0)).drop("_hot_key")
+    salts = F.when(F.col("_hot_key").isNotNull(), F.sequence(F.lit(0), F.lit(n - 1))).otherwise(F.array(F.lit(0)))
+    d = dim.join(hot, F.col(dim_key) == F.col("_hot_key"), "left").withColumn("_dim_salt", F.explode(salts)).drop("_hot_key").hint("merge")
+    joined = f.join(d, (F.col(key) == F.col(dim_key)) & (F.col("_salt") == F.col("_dim_salt")), "left").drop("_salt", "_dim_salt")
+    return joined.unionByName(bare.withColumns({c.name: F.lit(None).cast(c.dataType) for c in dim.schema}))
 
 
 def skew_session(spark: SparkSession, partition_bytes: int = 256 << 20, factor: float = 5.0, advisory: int = 64 << 20) -> SparkSession:
@@ -162,14 +168,10 @@ def salt_sweep(fact: DataFrame, dim: DataFrame, key: str, dim_key: str, stable:
 
 
 def partition_sweep(df: DataFrame, key: str, value: str, counts: Sequence[int]) -> DataFrame:
-    """The workload on ``df`` cut into 1, 2, ... partitions; its answer must not depend on the cut.
-
-    A table too large for the asked number gets more partitions (see ``task_count``).
-    """
-    narrow = df.select(key, value)
-    rows = df.count()
-    runs = [
-        workload(narrow.repartition(task_count(rows, n)), key, value).withColumn("partitions", F.lit(n))
-        for n in counts
-    ]
+    """The workload on ``df`` cut into 1, 2, ... partitions; its answer must not depend on the cut. ``used`` counts the partitions that got rows."""
+    runs = []
+    for n in counts:
+        cut = df.select(key, value).repartition(n).withColumn("_part", F.spark_partition_id())
+        used = cut.agg(F.count_distinct("_part")).scalar()
+        runs.append(workload(cut, key, value).select("*", F.lit(n).alias("partitions"), used.alias("used")))
     return reduce(DataFrame.unionByName, runs)

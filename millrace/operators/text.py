@@ -20,12 +20,13 @@ def word_count(df: DataFrame, c: str) -> DataFrame:
     return tokens(df, c).groupBy("word").agg(F.count("*").alias("n"))
 
 
-def word_count_grouped(df: DataFrame, c: str, stable: Sequence[str], spread: int = 64) -> DataFrame:
+def word_count_grouped(df: DataFrame, c: str, stable: Sequence[str], spread: int | None = None) -> DataFrame:
     """The same answer with every token moved before it is counted.
 
     The ``stable`` columns that name a text and the token's place in it spread a
-    frequent word over ``spread`` groups.
+    frequent word over ``spread`` groups, by default as many as shuffle partitions.
     """
+    spread = spread or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     slot = F.pmod(F.hash(*stable, "place"), F.lit(spread))
     placed = df.select(*stable, F.posexplode(raw_words(c)).alias("place", "raw"))
     moved = placed.select(bare("raw").alias("word"), slot.alias("slot")).where(F.col("word") != "").repartition("word", "slot")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from millrace.operators import aggregates as agg
 from millrace.operators import text as txt
 from millrace.operators.facts import build_corpus
-from millrace.operators.joins import by_flag, join_outcome
+from millrace.operators.joins import by_flag, join_outcome_apart
 from millrace.operators.ranking import top_k
 from millrace.plans import inputs
 from millrace.plans.registry import query, rounded, table
@@ -156,7 +156,7 @@ def agg_fact_ratio(spark, data):
 @query("agg_joined_flag", FLAG_SQL)
 def agg_joined_flag(spark, data):
     dim = spark.read.parquet(inputs.outcomes(spark, data))
-    joined = join_outcome(inputs.skewed_events(spark, data), dim, "k", "event_type")
+    joined = join_outcome_apart(inputs.skewed_events(spark, data), dim, "k", "event_type")
     return rounded(by_flag(joined, "is_out", "value"), "avg_value")
 
 
@@ -193,15 +193,12 @@ def five_number(spark, data):
 @query(
     "build_corpus",
     """
-SELECT text, count(*) AS n FROM (
-  SELECT text, row_number() OVER (PARTITION BY lang, source, n_chars ORDER BY text) AS rn
-  FROM documents WHERE text IS NOT NULL AND trim(text) <> '')
-WHERE rn = 1 GROUP BY text
+SELECT text, count(*) AS n FROM (SELECT DISTINCT text FROM documents WHERE text IS NOT NULL AND trim(text) <> '') GROUP BY text
 """,
 )
 def corpus_of(spark, data):
-    # copies of a document share language, source and length
-    plays = build_corpus(table(spark, data, "documents"), "text", ["lang", "source", "n_chars"])
+    keyed = table(spark, data, "documents").withColumn("text_key", F.sha2("text", 256))
+    plays = build_corpus(keyed, "text", ["text_key"])
     return plays.groupBy("text").agg(F.count("*").alias("n"))
 
 

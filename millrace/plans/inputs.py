@@ -63,7 +63,7 @@ def monthly_fact(spark: SparkSession, data: str) -> str:
 
 def corpus(spark: SparkSession, data: str) -> str:
     def build(path: str) -> None:
-        write_text(table(spark, data, "documents").select("text"), path, 8)
+        write_text(table(spark, data, "documents").select("text"), path)
 
     return staged(spark, data, "corpus", build)
 
@@ -92,7 +92,7 @@ def outcomes_sql(extra: str = "") -> str:
 
 
 def raw_events(spark: SparkSession, data: str) -> str:
-    """Gzip JSON lines made of the events table, with missing fields, blank and broken lines."""
+    """Gzip JSON lines made of the events table, with missing and wrong-typed fields, blank and broken lines."""
 
     def build(path: str) -> None:
         e = spread(table(spark, data, "events"))
@@ -111,6 +111,9 @@ def raw_events(spark: SparkSession, data: str) -> str:
                 F.when(i % 23 != 0, F.from_json("props", "k INT")).alias("payload"),
             )
         )
+        # wrong-typed fields: an actor that is a string, a flag that is a word
+        line = F.when(i % 37 == 0, F.regexp_replace(line, r'"actor":\{[^}]*\}', '"actor":"bob"')).otherwise(line)
+        line = F.when(i % 41 == 0, F.regexp_replace(line, r'"public":(true|false)', '"public":"yes"')).otherwise(line)
         broken = F.when(i % 29 == 0, F.substring(line, 1, 20))
         blank = F.when(i % 31 == 0, F.lit(""))
         lines = e.select(F.explode(F.array(line, broken, blank)).alias("value")).where("value IS NOT NULL")
@@ -124,10 +127,10 @@ TRIMMED_SQL = """
 WITH t AS (
   SELECT event_id::VARCHAR AS id,
          CASE WHEN event_id % 11 <> 0 THEN event_type ELSE 'UnknownEvent' END AS type,
-         CASE WHEN event_id % 13 <> 0 THEN 'user-' || user_id ELSE 'unknown' END AS actor,
+         CASE WHEN event_id % 13 <> 0 AND event_id % 37 <> 0 THEN 'user-' || user_id ELSE 'unknown' END AS actor,
          CASE WHEN event_id % 17 <> 0 THEN 'org' || (user_id % 7) || '/repo ' || user_id ELSE 'unknown/unknown' END AS repo,
          strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS created_at,
-         CASE WHEN event_id % 5 <> 0 AND event_id % 19 = 0 THEN 'false' ELSE 'true' END AS public,
+         CASE WHEN event_id % 5 <> 0 AND event_id % 19 = 0 AND event_id % 41 <> 0 THEN 'false' ELSE 'true' END AS public,
          CASE WHEN event_id % 23 <> 0 THEN length(replace(props, ' ', '')) ELSE 2 END AS payload_bytes
   FROM events)
 SELECT repo AS entity, type,

@@ -1,5 +1,8 @@
 """Queries on joins and skew."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators import joins, skew
@@ -100,12 +103,24 @@ def join_skew_adaptive(spark, data):
     return _flags(skew.skew_join(fact, dim, "k", "event_type"))
 
 
-@query("join_same_result", "SELECT event_id, is_out, 'left' AS side FROM (SELECT event_id, NULL::BOOLEAN AS is_out FROM events) WHERE false")
+@query(
+    "join_same_result",
+    """
+SELECT s.salts, count(*) AS rows_plain, count(*) AS rows_salted, 0::BIGINT AS rows_differ
+FROM events, (VALUES (4), (16), (64)) s(salts) GROUP BY s.salts
+""",
+)
 def join_same_result(spark, data):
     fact, dim = _flag_inputs(spark, data)
     plain = joins.join_outcome_apart(fact, dim, "k", "event_type").select("event_id", "is_out")
-    salted = skew.salted_join(fact, dim, "k", "event_type", ["event_id", "user_id"], "value", 16)
-    return joins.difference(plain, salted.select("event_id", "is_out"))
+    counted = []
+    for n in (4, 16, 64):
+        salted = skew.salted_join(fact, dim, "k", "event_type", ["event_id", "user_id"], "value", n).select("event_id", "is_out")
+        rows = plain.withColumn("_plain", F.lit(True)).unionByName(salted.withColumn("_plain", F.lit(False)))
+        sides = rows.groupBy("event_id", "is_out").agg(F.count_if("_plain").alias("a"), F.count_if(~F.col("_plain")).alias("b"))
+        sums = [F.sum("a").alias("rows_plain"), F.sum("b").alias("rows_salted"), F.sum(F.abs(F.col("a") - F.col("b"))).alias("rows_differ")]
+        counted.append(sides.agg(*sums).select(F.lit(n).alias("salts"), "rows_plain", "rows_salted", "rows_differ"))
+    return reduce(DataFrame.unionByName, counted)
 
 
 @query(
@@ -123,7 +138,7 @@ def join_unmatched(spark, data):
 @query(
     "repartition_sweep",
     """
-SELECT p.partitions, l_returnflag, count(*) AS n, round(avg(l_quantity), 6) AS avg_value
+SELECT p.partitions, p.partitions::BIGINT AS used, l_returnflag, count(*) AS n, round(avg(l_quantity), 6) AS avg_value
 FROM lineitem, (VALUES (1), (2), (4), (8), (32), (200), (1000)) p(partitions) GROUP BY p.partitions, l_returnflag
 """,
 )

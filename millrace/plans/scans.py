@@ -88,7 +88,7 @@ def scan_quoted_text(spark, data):
     "scan_ndjson_events",
     """
 SELECT event_id::VARCHAR AS id, CASE WHEN event_id % 11 <> 0 THEN event_type END AS type,
-       CASE WHEN event_id % 13 <> 0 THEN 'user-' || user_id END AS login,
+       CASE WHEN event_id % 13 <> 0 AND event_id % 37 <> 0 THEN 'user-' || user_id END AS login,
        CASE WHEN event_id % 17 <> 0 THEN 'org' || (user_id % 7) || '/repo' || chr(9) || user_id END AS repo,
        strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS created_at,
        CASE WHEN event_id % 23 <> 0 THEN replace(props, ' ', '') END AS payload

@@ -16,7 +16,8 @@ N = inputs.LOG_PARTITIONS
 
 
 def _events(spark, data, **limits):
-    return streams.stream_files(spark, data, table(spark, data, "events").schema, glob="events.parquet", **limits)
+    # a pattern as the path matches a table of one file and a folder of many
+    return streams.stream_files(spark, f"{data}/events.parque[t]", table(spark, data, "events").schema, **limits)
 
 
 def _ids(spark, out):

@@ -12,10 +12,6 @@ from pyspark.sql import types as T
 
 from millrace.sources.guards import require_columns, require_rows
 
-EVENT_SCHEMA = (
-    "id STRING, type STRING, actor STRUCT<login: STRING>, repo STRUCT<name: STRING>, "
-    "created_at STRING, public BOOLEAN, payload STRING"
-)
 REPLAY_SCHEMA = "entity STRING, type STRING, value STRING"
 
 
@@ -58,9 +54,34 @@ def parse_csv_lines(lines: DataFrame, schema: str, numeric: Sequence[str]) -> Da
     return typed.dropna(subset=list(numeric))
 
 
-def scan_events(spark: SparkSession, path: str, schema: T.StructType | str = EVENT_SCHEMA) -> DataFrame:
-    """One JSON event per line, plain or gzip. Blank and broken lines are skipped."""
-    return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
+def scan_events(spark: SparkSession, path: str) -> DataFrame:
+    """One JSON event per line, plain or gzip: id, type, actor.login, repo.name, created_at, public, payload.
+
+    Lines that are no JSON object are skipped; every other line is a row, whatever types its
+    fields have and whichever columns are read. Values come as text, the payload as JSON text. ``public`` is
+    NULL if the event lacks it, else whether its value is true, not zero or not empty; an explicit null is false.
+    """
+    event = spark.read.text(path).select(F.try_parse_json("value").alias("e"))
+    objects = event.where(F.schema_of_variant("e").startswith("OBJECT"))
+    field = lambda name, kind="string": F.try_variant_get("e", f"$.{name}", kind)
+    public = field("public", "variant")
+    kind = F.schema_of_variant(public)
+    truth = (
+        F.when(public.isNull(), F.lit(None).cast("boolean"))
+        .when(F.is_variant_null(public), F.lit(False))
+        .when(kind == "BOOLEAN", field("public", "boolean"))
+        .when(kind == "STRING", F.length(field("public")) > 0)
+        .otherwise(F.coalesce(field("public", "double") != 0, F.lit(True)))
+    )
+    return objects.select(
+        field("id").alias("id"),
+        field("type").alias("type"),
+        F.struct(field("actor.login").alias("login")).alias("actor"),
+        F.struct(field("repo.name").alias("name")).alias("repo"),
+        field("created_at").alias("created_at"),
+        truth.alias("public"),
+        F.when(~F.is_variant_null(field("payload", "variant")), F.to_json(field("payload", "variant"))).alias("payload"),
+    )
 
 
 def scan_replay(spark: SparkSession, path: str) -> DataFrame:

@@ -31,8 +31,8 @@ def require_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def require_rows(df: DataFrame, floor: int, only_warn: bool = False) -> DataFrame:
-    """Count the rows of ``df`` and fail, or warn, below ``floor``."""
-    n = df.count()
+    """Fail, or warn, if ``df`` has fewer rows than ``floor``; reads no more than it takes to tell."""
+    n = df.limit(floor).count()
     if n < floor:
         message = f"{n} rows, expected at least {floor}"
         if not only_warn:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from math import ceil
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,9 +11,7 @@ from pyspark.sql import functions as F
 from millrace.functions.columns import row_order
 from millrace.sources.files import path_size
 
-ROWS_PER_TASK = 20_000_000
-
-# format name -> (writer format, codec)
+# Format name -> (writer format, codec)
 CODECS = {
     "csv_gzip": ("csv", "gzip"),
     "parquet_none": ("parquet", "none"),
@@ -24,11 +21,6 @@ CODECS = {
 }
 
 
-def task_count(rows: int, n: int, rows_per_task: int = ROWS_PER_TASK) -> int:
-    """``n`` tasks, or as many more as keep each at ``rows_per_task`` rows or less."""
-    return max(n, ceil(rows / rows_per_task))
-
-
 def spread(scan: DataFrame) -> DataFrame:
     """A stored table in fewer splits than cores, dealt out over the cores; for work that costs more than moving it.
 
@@ -39,14 +31,13 @@ def spread(scan: DataFrame) -> DataFrame:
     return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
 
 
-def in_files(df: DataFrame, n: int, shuffle: bool = True, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """``df`` in ``n`` partitions; a table too large for ``n`` tasks gets more.
+def in_files(df: DataFrame, n: int, shuffle: bool = True) -> DataFrame:
+    """``df`` in ``n`` partitions; the number is the caller's, whatever the size.
 
-    ``shuffle=False`` only joins neighbouring partitions. Use it for stored
+    ``shuffle=False`` only joins neighbouring partitions, if there are more than ``n``. Use it for stored
     tables: on a derived frame it would narrow the work above it as well.
     """
-    parts = task_count(df.count(), n, rows_per_task)
-    return df.repartition(parts) if shuffle else df.coalesce(parts)
+    return df.repartition(n) if shuffle or df.rdd.getNumPartitions() < n else df.coalesce(n)
 
 
 def write_table(df: DataFrame, path: str) -> None:
@@ -62,8 +53,9 @@ def write_dim(df: DataFrame, path: str) -> None:
     df.hint("rebalance").write.mode("overwrite").parquet(path)
 
 
-def write_text(df: DataFrame, path: str, n: int) -> None:
-    in_files(df, n).write.mode("overwrite").text(path)
+def write_text(df: DataFrame, path: str) -> None:
+    """Lines in files of advisory size; how many follows from the bytes."""
+    df.hint("rebalance").write.mode("overwrite").text(path)
 
 
 def write_partitioned(df: DataFrame, path: str, by: Sequence[str]) -> None:
@@ -81,7 +73,7 @@ def folder_count(df: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def codec_sweep(df: DataFrame, out: str, n: int = 4) -> DataFrame:
-    """Write ``df`` as plain CSV and in every format of ``CODECS``; sizes and ratios against plain CSV."""
+    """Write ``df`` as plain CSV and in every format of ``CODECS``; rows read back, files, sizes and ratios against plain CSV."""
     spark = df.sparkSession
     spread = in_files(df, n, shuffle=False)
     spread.write.mode("overwrite").option("header", True).csv(f"{out}/csv_plain")
@@ -90,9 +82,11 @@ def codec_sweep(df: DataFrame, out: str, n: int = 4) -> DataFrame:
     for name, (fmt, codec) in CODECS.items():
         writer = spread.write.mode("overwrite").format(fmt).option("compression", codec)
         (writer.option("header", True) if fmt == "csv" else writer).save(f"{out}/{name}")
-        sizes.append(path_size(spark, f"{out}/{name}").withColumn("format", F.lit(name)))
+        back = (spark.read.option("header", True).csv if fmt == "csv" else spark.read.parquet)(f"{out}/{name}")
+        rows = back.agg(F.count("*")).scalar()
+        sizes.append(path_size(spark, f"{out}/{name}").select("*", F.lit(name).alias("format"), rows.alias("rows")))
     return reduce(DataFrame.unionByName, sizes).select(
-        "format", "files", "bytes", "mb", F.round(F.lit(plain) / F.col("bytes"), 2).alias("ratio")
+        "format", "rows", "files", "bytes", "mb", F.round(F.lit(plain) / F.col("bytes"), 2).alias("ratio")
     )
 
 

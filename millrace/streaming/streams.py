@@ -24,13 +24,11 @@ BATCH_BYTES = 64 << 30
 
 
 def stream_files(
-    spark: SparkSession, path: str, schema: T.StructType | str, glob: str | None = None,
+    spark: SparkSession, path: str, schema: T.StructType | str,
     files_per_batch: int | None = None, bytes_per_batch: int = BATCH_BYTES,
 ) -> DataFrame:
     """Parquet files as a stream, oldest first. A batch holds ``bytes_per_batch``, or ``files_per_batch`` files for a paced replay."""
     reader = spark.readStream.schema(schema)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     else:

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from millrace.functions.columns import clean, not_blank
 from millrace.operators import facts
 from millrace.operators.events import pitch_events, trim_events
-from millrace.sources.files import EVENT_SCHEMA
+from millrace.sources.files import scan_events
 from millrace.sources.guards import MissingColumns
 from tests.plan_text import count, planned
 
@@ -76,10 +76,9 @@ def test_clean(spark):
     assert [r[0] for r in df.select(clean(F.col("s"), "none")).collect()] == ["a b", "none", "none", "none"]
 
 
-def test_trim_events_defaults(spark):
-    raw = spark.read.schema(EVENT_SCHEMA).json(
-        spark.sparkContext.parallelize(['{"id":"9","repo":{"name":"a\\tb\\nc"},"payload":{"k":1}}', "{}"])
-    )
+def test_trim_events_defaults(spark, tmp_path):
+    (tmp_path / "e.json").write_text('{"id":"9","repo":{"name":"a\\tb\\nc"},"payload":{"k":1}}\n{}\n')
+    raw = scan_events(spark, str(tmp_path))
     rows = {r.entity: r for r in trim_events(raw).collect()}
     assert rows["a b c"].value == (
         '{"id":"9","type":"UnknownEvent","actor":"unknown","repo":"a b c",'

@@ -131,13 +131,22 @@ def test_adaptive_skew_split(spark, tmp_path):
     assert {(r.is_out, r.n) for r in report.collect()} == {(None, 30_000), (False, 6000), (True, 4000)}
 
 
-def test_sweep_raises_the_count_for_large_tables(spark, monkeypatch):
+def test_sweep_counts_the_partitions_it_used(spark):
     df = spark.range(100).select((F.col("id") % 2).alias("k"), F.col("id").cast("double").alias("v"))
-    for rows_per_task in (None, 10):
-        if rows_per_task:
-            monkeypatch.setattr(skew, "task_count", lambda rows, n: max(n, -(-rows // rows_per_task)))
-        sweep = skew.partition_sweep(df, "k", "v", [1, 4])
-        assert {(r.partitions, r.k, r.n, r.avg_value) for r in sweep.collect()} == {
-            (p, k, 50, 49.0 + k) for p in (1, 4) for k in (0, 1)
-        }
-    assert "RoundRobinPartitioning(10)" in planned(sweep)
+    rows = skew.partition_sweep(df, "k", "v", [1, 4, 300]).collect()
+    assert {(r.partitions, r.used) for r in rows if r.partitions < 300} == {(1, 1), (4, 4)}
+    assert {r.used for r in rows if r.partitions == 300} <= set(range(2, 101))
+    assert {(r.k, r.n, r.avg_value) for r in rows} == {(0, 50, 49.0), (1, 50, 50.0)}
+
+
+def test_salting_copies_hot_dimension_rows_only(spark):
+    fact = spark.range(1000).select(F.col("id"), F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id") % 97).cast("int").alias("k"), F.lit(1.0).alias("v"))
+    dim = spark.range(200).select(F.col("id").cast("int").alias("code"), F.lit(True).alias("is_out"))
+    joined = skew.salted_join(fact, dim, "k", "code", ["id"], "v", n=8, share=0.2)
+    plain = joins.join_outcome(fact, dim, "k", "code")
+    assert joins.difference(joined.select("id", "is_out"), plain.select("id", "is_out")).count() == 0
+    joined.collect()
+    sides = [line for line in planned(joined).splitlines() if "Generate" in line]
+    assert sides
+    hot = skew.hot_keys(fact.where("k IS NOT NULL"), "k", 0.2).collect()
+    assert [r._hot_key for r in hot] == [7]

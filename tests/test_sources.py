@@ -3,6 +3,7 @@ import gzip
 import pytest
 from pyspark.sql import functions as F
 
+from millrace.operators.events import trim_events
 from millrace.sources import files, guards
 from millrace.sources.footers import parquet_footers
 
@@ -72,6 +73,19 @@ def test_bad_event_lines_go(spark, tmp_path):
     assert events.where("id = '1'").first().payload == '{"x":[1,2]}'
 
 
+def test_wrong_typed_fields_keep_their_rows(spark, tmp_path):
+    lines = ['{"id":1,"public":"yes"}', '{"id":"2","actor":"bob","public":null}', '{"id":"3","public":false,"payload":{"t":"é"}}', '{"id":"4","repo":5,"public":0}', "[1]", '"x"', "7"]
+    (tmp_path / "e.json").write_text("\n".join(lines))
+    events = files.scan_events(spark, str(tmp_path))
+    rows = {r.id: r for r in events.collect()}
+    assert {i: r.public for i, r in rows.items()} == {"1": True, "2": False, "3": False, "4": False}
+    assert rows["2"].actor.login is None and rows["4"].repo.name is None
+    for columns in (["id"], ["id", "public"], events.columns):
+        assert len(events.select(columns).collect()) == 4
+    sizes = {r.id: r.payload_bytes for r in trim_events(events).select(F.from_json("value", "id STRING, payload_bytes INT").alias("v")).select("v.*").collect()}
+    assert sizes == {"1": 2, "2": 2, "3": 10, "4": 2}
+
+
 def test_replay_file_keeps_json(spark, tmp_path):
     (tmp_path / "r.tsv").write_text('a/b\tPush\t{"id":"1","note":"say \\"hi\\", x"}\n')
     assert tuple(files.scan_replay(spark, str(tmp_path)).first()) == ("a/b", "Push", '{"id":"1","note":"say \\"hi\\", x"}')

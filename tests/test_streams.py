@@ -32,18 +32,18 @@ def brute(rows, last=10, fall=3.0):
     return found
 
 
-@pytest.mark.parametrize("hot_rows, slice_rows", [(1, 9), (1, 50), (250, 100), (250, 10**6), (10**9, 50)])
-def test_drops_equal_brute_force(spark, hot_rows, slice_rows):
+@pytest.mark.parametrize("share, slice_rows", [(1e-9, 9), (1e-9, 50), (0.3, 100), (0.3, 10**6), (1.0, 50), (None, 1000)])
+def test_drops_equal_brute_force(spark, share, slice_rows):
     rows = made()
     df = spark.createDataFrame(rows, SCHEMA)
-    got = alerts.drops(df, "user_id", "ts", "event_id", "value", hot_rows=hot_rows, slice_rows=slice_rows)
+    got = alerts.drops(df, "user_id", "ts", "event_id", "value", share=share, slice_rows=slice_rows)
     assert {tuple(r) for r in got.collect()} == brute(rows)
 
 
 def test_drops_on_zoned_timestamps(spark):
     rows = made(100)
     df = spark.createDataFrame(rows, SCHEMA).withColumn("ts", F.col("ts").cast("timestamp"))
-    got = alerts.drops(df, "user_id", "ts", "event_id", "value", hot_rows=1, slice_rows=20)
+    got = alerts.drops(df, "user_id", "ts", "event_id", "value", share=1e-9, slice_rows=20)
     assert {tuple(r) for r in got.collect()} == brute(rows)
 
 
@@ -53,13 +53,15 @@ def test_slices_bound_the_groups(spark):
         alerts.drops(df, "user_id", "ts", "event_id", "value", slice_rows=8)
     burst = df.withColumn("ts", F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz"))  # one instant
     rows = [(i, dt.datetime(2024, 1, 1), user, value) for i, _, user, value in made(300)]
-    got = alerts.drops(burst, "user_id", "ts", "event_id", "value", hot_rows=1, slice_rows=10)
+    got = alerts.drops(burst, "user_id", "ts", "event_id", "value", share=1e-9, slice_rows=10)
     assert {tuple(r) for r in got.collect()} == brute(rows)
 
 
 def test_hot_keys_are_bounded(spark):
     df = spark.createDataFrame([(k,) for k in [1] * 5 + [2] * 4 + [3] * 3 + [4]], "k INT")
-    assert [r._hot_key for r in alerts.hot_keys(df, "k", 3, max_keys=2).collect()] == [1, 2]
+    for share in (0.5, 0.3, 0.25, 0.1):
+        hot = {r._hot_key for r in alerts.hot_keys(df, "k", share).collect()}
+        assert hot == {k for k, n in {1: 5, 2: 4, 3: 3, 4: 1}.items() if n >= share * 13} and len(hot) <= 1 / share
 
 
 def parts(spark, path, frames):
