@@ -65,7 +65,7 @@ class Pieces:
         if self.size > 1 << 16:
             raise ValueError("vocabulary too large for two-byte ids")
         self.is_byte = np.array([self.model.is_byte(i) for i in range(self.size)])
-        self.known = Known(self._ids)
+        self.known = Known(self._ids, 200_000)
 
     def _ids(self, words: list[bytes]) -> list[bytes]:
         found = self.model.encode([w.decode("utf-8", "replace") for w in words], num_threads=1)
