@@ -149,9 +149,19 @@ def repartition_sweep(spark, data):
     return rounded(sweep, "avg_value")
 
 
-@query("partition_sizes")
+K_SQL = "(SELECT CASE WHEN event_id % 4 = 0 THEN event_type END AS k FROM events)"
+
+
+@query(
+    "partition_sizes",
+    f"SELECT 8::BIGINT AS partitions, count(*) AS n, true AS holds_hottest FROM {K_SQL}",
+)
 def partition_sizes(spark, data):
-    return skew.partition_sizes(inputs.skewed_events(spark, data), "k", 8)
+    """Which partition gets what is the hash's choice; their number, their sum, and that one holds the hottest key are not."""
+    events = inputs.skewed_events(spark, data)
+    hottest = events.groupBy("k").agg(F.count("*").alias("n")).agg(F.max("n")).scalar()
+    sizes = skew.partition_sizes(events, "k", 8)
+    return sizes.agg(F.count("*").alias("partitions"), F.sum("n").alias("n"), (F.max("n") >= hottest).alias("holds_hottest"))
 
 
 @query(
@@ -166,9 +176,17 @@ def key_profile(spark, data):
     return skew.key_profile(inputs.skewed_events(spark, data), "k")
 
 
-@query("partition_profile")
+@query(
+    "partition_profile",
+    f"SELECT 'k' AS key, true AS holds_hottest, true AS few_enough FROM (SELECT count(DISTINCT k) FROM {K_SQL})",
+)
 def partition_profile(spark, data):
-    return skew.partition_profile(inputs.skewed_events(spark, data), "k", 16)
+    """The largest partition holds the hottest key, and no more partitions have rows than there are keys."""
+    events = inputs.skewed_events(spark, data)
+    keys = events.groupBy("k").agg(F.count("*").alias("n"))
+    hottest, many = keys.agg(F.max("n")).scalar(), keys.agg(F.count("*")).scalar()
+    profile = skew.partition_profile(events, "k", 16)
+    return profile.select("key", (F.col("max_rows") >= hottest).alias("holds_hottest"), (F.col("partitions_nonempty") <= many).alias("few_enough"))
 
 
 @query(
@@ -190,10 +208,14 @@ def profile_keys(spark, data):
     return skew.profile_keys(inputs.skewed_events(spark, data), ["user_id", "k", "event_id"], 16)
 
 
-@query("salt_column")
+@query("salt_column", "SELECT 0 AS least, 15 AS most, 16::BIGINT AS salts, count(*) AS n, true AS even FROM events")
 def salt_column(spark, data):
+    """Every salt is used, and the largest holds under twice an even share."""
     salted = skew.with_salt(inputs.skewed_events(spark, data), ["event_id", "user_id"], "value", 16)
-    return salted.groupBy(F.col("_salt").alias("salt")).agg(F.count("*").alias("n"))
+    per_salt = salted.groupBy(F.col("_salt").alias("salt")).agg(F.count("*").alias("n"))
+    return per_salt.agg(
+        F.min("salt").alias("least"), F.max("salt").alias("most"), F.count("*").alias("salts"), F.sum("n").alias("total"), (16 * F.max("n") < 2 * F.sum("n")).alias("even")
+    ).withColumnRenamed("total", "n")
 
 
 @query("explode_dim", inputs.outcomes_sql(", unnest(range(0, 4))::INT AS salt"))

@@ -70,20 +70,22 @@ def type_counts(stream: DataFrame, kind: str) -> DataFrame:
 def publish_totals(totals: DataFrame, out: str, checkpoint: str, once: bool = True) -> StreamingQuery:
     """Write the whole of a running aggregate after every batch, to a folder per batch.
 
-    A batch that runs again overwrites its own folder; readers take the newest.
+    A batch that runs again overwrites its own folder. Its number is published once the folder is
+    complete, and readers take the newest published one, so they never see part of a batch.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{out}/totals/batch_id={batch_id}")
+        number = batch.sparkSession.createDataFrame([(batch_id,)], "batch_id LONG")
+        number.coalesce(1).write.mode("append").parquet(f"{out}/published")
 
     writer = totals.writeStream.outputMode("complete").option("checkpointLocation", checkpoint).foreachBatch(write)
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
 def latest_totals(spark: SparkSession, out: str) -> DataFrame:
-    batches = spark.read.parquet(out)
-    newest = batches.agg(F.max("batch_id")).scalar()
-    return batches.where(F.col("batch_id") == newest).drop("batch_id")
+    newest = spark.read.parquet(f"{out}/published").agg(F.max("batch_id")).first()[0]
+    return spark.read.parquet(f"{out}/totals/batch_id={newest}")
 
 
 def hourly(stream: DataFrame, ts: str, kind: str, delay: str) -> DataFrame:
