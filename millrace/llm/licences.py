@@ -1,13 +1,14 @@
 """Licence notices and texts in documents: Dice coefficient of word bigrams with templates.
 
 Lines of a document that share a bigram with a template are candidates, alone,
-together with the lines next to them, and as windows of a template's length within a longer line. A template is compared only
+together with the lines next to them, and as windows of a template's length within a longer line or run of lines. A template is compared only
 if the sizes allow the coefficient: for threshold t, a stretch has between t / (2 - t) and (2 - t) / t times its bigrams.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator, Mapping
 from functools import lru_cache
@@ -86,8 +87,9 @@ class Templates:
         if value >= self.threshold and (name not in found or value > found[name][0]):
             found[name] = (value, *place)
 
-    def windows(self, words: list[str], found: dict[str, tuple[float, int, int]], line: int) -> None:
-        """Stretches of a template's length that begin with one of its bigrams."""
+    def windows(self, words: list[str], found: dict[str, tuple[float, int, int]], lines: list[int]) -> None:
+        """Stretches of a template's length that begin with one of its bigrams; of those that overlap the best count. ``lines`` has the line of each word."""
+        fits: list[tuple[float, int, int, str]] = []
         starts: dict[int, list[int]] = {}
         for i, g in enumerate(zip(words, words[1:])):
             for n in self.holding.get(g, ()):
@@ -96,13 +98,27 @@ class Templates:
             name, length, template = self.all[n]
             if len(words) <= length or len(places) < self.threshold * template.total() / 2:
                 continue
-            for i in places:
-                self._note(found, name, dice(bigrams(words[i : i + length]), template), (line, line + 1))
+            for k, i in enumerate(places):
+                stretch = min(length, len(words) - i)
+                if 2 * (bisect_left(places, i + stretch - 1) - k) < self.threshold * (template.total() + stretch - 1):
+                    continue
+                value = dice(bigrams(words[i : i + stretch]), template)
+                if value >= self.threshold:
+                    fits.append((value, i, i + stretch, name))
+        # only the best of each licence can drop another, so few are compared
+        top: dict[str, tuple[float, int, int, str]] = {}
+        for fit in fits:
+            if fit[3] not in top or fit[0] > top[fit[3]][0]:
+                top[fit[3]] = fit
+        for value, i, stop, name in fits:
+            if not any(best[0] > value and best[1] < stop and i < best[2] for other, best in top.items() if other != name):
+                self._note(found, name, value, (lines[i], lines[stop - 1] + 1))
 
     def scan(self, text: str) -> dict[str, tuple[float, int, int]]:
         """By licence: best coefficient and the lines where it was found, the last one excluded."""
         found: dict[str, tuple[float, int, int]] = {}
         run: list[str] = []
+        lines_of: list[int] = []
         begin = 0
         lines = text.split("\n")
         for i, line in enumerate([*lines, ""]):
@@ -111,16 +127,19 @@ class Templates:
             near = not self.first_words.isdisjoint(words) and any(g in self.holding for g in pairs)
             if near:
                 self.compare(words, found, (i, i + 1))
-                self.windows(words, found, i)
+                self.windows(words, found, [i] * len(words))
                 if not run:
                     begin = i
                 run += words
+                lines_of += [i] * len(words)
             elif run and words and self.words.issuperset(words):  # a short line within a licence
                 run += words
+                lines_of += [i] * len(words)
             elif run and (words or i == len(lines)):  # blank lines do not end a run
                 if i - begin > 1:
                     self.compare(run, found, (begin, i))
-                run = []
+                    self.windows(run, found, lines_of)
+                run, lines_of = [], []
         best: dict[tuple[int, int], float] = {}
         for value, *place in found.values():
             best[tuple(place)] = max(value, best.get(tuple(place), 0.0))
