@@ -137,29 +137,38 @@ def is_main(symbol: str) -> bool:
     return tag in ("article", "main") or "@main" in words or any(w[1:] in MAIN_WORDS for w in words if w[0] == ".")
 
 
+def is_named(symbol: str) -> bool:
+    """Whether only a word of its class, id or role makes an element noise."""
+    tag, *words = re.split(r"(?=[.@!])", symbol)
+    return tag not in NOISE_TAGS and "!hidden" not in words
+
+
+def holds_main(groups: list) -> bool:
+    return any(s != "#" and (is_main(s) and not is_noise(s) or holds_main(i)) for s, _, _, i in groups)
+
+
 # A pattern is a list of groups [symbol, optional, repeated, inner pattern]; a text is ["#", optional, repeated, its fingerprint or None].
 
 
 def pattern(html: str) -> list:
-    """The pattern of one page. Texts count only on pages without a main region, where fixed ones have to be told apart."""
+    """The pattern of one page, with the fingerprints of its texts."""
     root: list = []
-    levels, marked = [root], False
+    levels = [root]
     for kind, value in events(html):
         if kind == "open":
             inner: list = []
             levels[-1].append([value, False, False, inner])
             levels.append(inner)
-            marked = marked or is_main(value)
         elif kind == "close":
             if len(levels) > 1:
                 levels.pop()
         elif kind == "text" and value.strip():
             levels[-1].append(["#", False, False, value])
-    return folded(_with_texts(root, not marked))
+    return folded(_with_texts(root))
 
 
-def _with_texts(groups: list, known: bool) -> list:
-    return [[s, o, r, (fingerprint(i) if known else None) if s == "#" else _with_texts(i, known)] for s, o, r, i in groups]
+def _with_texts(groups: list) -> list:
+    return [[s, o, r, fingerprint(i) if s == "#" else _with_texts(i)] for s, o, r, i in groups]
 
 
 def fingerprint(text: str) -> str:
@@ -225,7 +234,7 @@ def reading(wrapper: str, pages: int) -> tuple[bool, frozenset[tuple[str, str]]]
             if symbol == "#":
                 if inner is not None and always and not optional and pages >= 3:
                     fixed.add((path, inner))
-            elif not is_noise(symbol):
+            elif not is_noise(symbol) or holds_main(inner):
                 marked = marked or is_main(symbol)
                 walk(inner, f"{path}/{symbol}", always and not optional)
 
@@ -233,16 +242,18 @@ def reading(wrapper: str, pages: int) -> tuple[bool, frozenset[tuple[str, str]]]
     return marked, frozenset(fixed)
 
 
-def main_text(html: str, marked: bool, fixed: frozenset[tuple[str, str]]) -> str:
-    """Blocks of the main regions, each on one line, with an empty line between them.
+def main_text(html: str, marked: bool, fixed: frozenset[tuple[str, str]], within: bool = False) -> str:
+    """Blocks of the main regions, each on one line, with an empty line between them; the host's fixed texts are left out.
 
-    On a host without marked regions, or on a page that lacks them, all blocks count but noise and the host's fixed texts.
+    On a host without marked regions, or on a page that lacks them, all blocks count but noise. A main element, or on a page without other
+    main regions (``within``) any of them, counts in a container that only its class, id or role makes noise.
     """
     blocks: list[str] = []
     in_main: list[bool] = []
     text: list[str] = []
     path: list[str] = []
     noise = main = 0
+    outside: list[tuple[int, int]] = []  # depth of a main region within a named container, and the noise around it
 
     def flush() -> None:
         block = " ".join(entities.unescape("".join(text)).split())
@@ -254,7 +265,7 @@ def main_text(html: str, marked: bool, fixed: frozenset[tuple[str, str]]) -> str
     for kind, value in events(html):
         if kind == "text":
             if not noise:
-                if fixed and not main and value.strip() and ("".join(f"/{p}" for p in path), fingerprint(value)) in fixed:
+                if fixed and value.strip() and ("".join(f"/{p}" for p in path), fingerprint(value)) in fixed:
                     continue
                 text.append(value)
         elif kind == "void":
@@ -266,16 +277,25 @@ def main_text(html: str, marked: bool, fixed: frozenset[tuple[str, str]]) -> str
             if value.split(".", 1)[0].split("@", 1)[0].split("!", 1)[0] in BLOCK:
                 flush()
             path.append(value)
+            if noise and is_main(value) and not is_noise(value) and (within or value.split(".", 1)[0] in ("main", "main@main") or "@main" in value):
+                around = [p for p in path[:-1] if is_noise(p)]
+                if all(map(is_named, around)):
+                    outside.append((len(path), noise))
+                    noise = 0
             noise += noise > 0 or is_noise(value)
             main += main > 0 or not noise and is_main(value)
         else:
             if value in BLOCK:
                 flush()
+            if outside and outside[-1][0] == len(path):
+                noise = outside.pop()[1] + 1
             if path:
                 path.pop()
             noise = max(0, noise - 1)
             main = max(0, main - 1)
     flush()
+    if marked and not any(in_main) and not within:
+        return main_text(html, marked, fixed, True)
     if marked and any(in_main):
         blocks = [b for b, inside in zip(blocks, in_main) if inside]
     return "\n\n".join(blocks)
@@ -287,7 +307,7 @@ def host(url):
 
 
 def infer_wrappers(pages: DataFrame) -> DataFrame:
-    """host, wrapper, n_pages: the aligned pattern of all pages of each host, stored.
+    """host, wrapper, n_pages: the aligned pattern of all pages of each host and how many differ, stored.
 
     Equal patterns of a host count once, summed up before they move. A host's patterns are aligned in 64 parts first, so
     a host with a third of all pages is shared out; each task holds one wrapper at a time.
@@ -296,11 +316,11 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
 
     def patterns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "html"):
-            seen: dict[tuple[str, str], int] = {}
-            for name, page in zip(part.column("host").to_pylist(), part.column("html").to_pylist()):
-                key = (name, json.dumps(pattern(page or ""), separators=(",", ":")))
-                seen[key] = seen.get(key, 0) + 1
-            yield batch({"host": [h for h, _ in seen], "pattern": [p for _, p in seen], "n": list(seen.values())}, page_schema)
+            seen = {
+                (name, json.dumps(pattern(page or ""), separators=(",", ":")), zlib.crc32((page or "").encode("utf-8", "surrogatepass")))
+                for name, page in zip(part.column("host").to_pylist(), part.column("html").to_pylist())
+            }
+            yield batch({"host": [h for h, _, _ in seen], "pattern": [p for _, p, _ in seen], "n": [c for _, _, c in seen]}, page_schema)
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, merged, n = None, None, 0
@@ -319,7 +339,8 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
             yield batch({"host": [name], "pattern": [json.dumps(merged, separators=(",", ":"))], "n": [n]}, page_schema)
 
     ddl = "host string, pattern string, n long"
-    counted = pages.select("host", "html").mapInArrow(patterns, ddl).groupBy("host", "pattern").agg(F.sum("n").alias("n"))
+    # copies of one page tell nothing about what is fixed, so different pages count
+    counted = pages.select("host", "html").mapInArrow(patterns, ddl).groupBy("host", "pattern").agg(F.approx_count_distinct("n").alias("n"))
     cut = counted.withColumn("cut", F.pmod(F.xxhash64("pattern"), F.lit(64)))
     parts = cut.repartition("host", "cut").sortWithinPartitions("host", "cut", "pattern").select("host", "pattern", "n").mapInArrow(fold, ddl)
     whole = parts.repartition("host").sortWithinPartitions("host", "pattern").mapInArrow(fold, ddl)
