@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.batches import batch, slices, texts
+from millrace.operators.joins import checked_broadcast
 from millrace.session import stored
 
 ITEM_BYTES = 16 << 20
@@ -26,7 +27,7 @@ _MARKS = b".,;:!?\"'()[]"
 
 @dataclass(frozen=True)
 class Budget:
-    """Edits allowed as a share of an item's length; shorter items than ``least`` bytes are too common to tell anything and are left out."""
+    """Edits allowed as a share of an item's length; items under ``least`` bytes count only as they are, as whole words."""
 
     share: float = 0.05
     least: int = 24
@@ -83,7 +84,8 @@ class ItemIndex:
     def __init__(self, items: list[tuple[object, str]], budget: Budget):
         import ahocorasick
 
-        self.items = [(key, text, int(len(text) * budget.share)) for key, text in items if len(text) >= budget.least]
+        self.items = [(key, text, int(len(text) * budget.share) if len(text) >= budget.least else 0) for key, text in items if text]
+        self.least = budget.least
         self.masks: dict[int, dict[str, int]] = {}
         of_piece: dict[str, list[tuple[int, int]]] = {}
         for n, (_, text, edits) in enumerate(self.items):
@@ -107,6 +109,8 @@ class ItemIndex:
                     continue
                 _, item, edits = self.items[n]
                 start = end + 1 - size - at
+                if len(item) < self.least and (start > 0 and text[start - 1] != " " or text[end + 1 : end + 2] not in ("", " ")):
+                    continue
                 if start >= 0 and text.startswith(item, start):
                     found[n] = (0, start + len(item))
                     continue
@@ -132,17 +136,23 @@ def _index(items: list[tuple[object, str]], budget: Budget) -> ItemIndex:
     return _built[0][1]
 
 
-def item_blocks(items: DataFrame, block_bytes: int = ITEM_BYTES) -> Iterator[list[tuple[int | None, str]]]:
-    """The items, in blocks of about ``block_bytes``; no block is larger than twice that but for a single larger item."""
-    rows = stored(items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text IS NOT NULL"), "items")
-    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+def item_rows(items: DataFrame) -> DataFrame:
+    """item_id, key, text of the items, stored; equal texts have one key."""
+    rows = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text IS NOT NULL")
+    return stored(rows.select("item_id", F.sha2("text", 256).alias("key"), "text"), "items")
+
+
+def item_blocks(rows: DataFrame, block_bytes: int = ITEM_BYTES) -> Iterator[list[tuple[str, str]]]:
+    """Key and text of the different items, in blocks of about ``block_bytes``; no block is larger than twice that but for a single larger item."""
+    each = stored(rows.select("key", "text").dropDuplicates(["key"]), "item-texts")
+    total = each.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     many = -(-total // block_bytes)
     for block in range(many):
-        part = rows.where(F.pmod(F.xxhash64("text"), F.lit(many)) == block)
-        yield [(r.item_id, plain(r.text)) for r in part.collect()]
+        part = each.where(F.pmod(F.xxhash64("text"), F.lit(many)) == block)
+        yield [(r.key, plain(r.text)) for r in part.collect()]
 
 
-_HITS = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("distance", pa.int64()), ("end_byte", pa.int64())])
+_HITS = pa.schema([("doc_id", pa.int64()), ("key", pa.string()), ("distance", pa.int64()), ("end_byte", pa.int64())])
 
 
 def contaminated(docs: DataFrame, items: DataFrame, budget: Budget = Budget(), block_bytes: int = ITEM_BYTES) -> DataFrame:
@@ -154,8 +164,10 @@ def contaminated(docs: DataFrame, items: DataFrame, budget: Budget = Budget(), b
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     context = docs.sparkSession.sparkContext
-    out = docs.sparkSession.createDataFrame([], "doc_id long, item_id long, distance long, end_byte long")
-    for block in item_blocks(items, block_bytes):
+    ddl = "doc_id long, key string, distance long, end_byte long"
+    out = docs.sparkSession.createDataFrame([], ddl)
+    known = item_rows(items)
+    for block in item_blocks(known, block_bytes):
         sent = context.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
@@ -168,14 +180,15 @@ def contaminated(docs: DataFrame, items: DataFrame, budget: Budget = Budget(), b
                             column.append(value)
                 yield batch(hits, _HITS)
 
-        out = out.unionByName(rows.mapInArrow(run, "doc_id long, item_id long, distance long, end_byte long"))
-    return out
+        out = out.unionByName(rows.mapInArrow(run, ddl))
+    ids = checked_broadcast(known.select("item_id", F.col("key").alias("_key")))
+    return out.join(ids, F.col("key") == F.col("_key")).select("doc_id", "item_id", "distance", "end_byte")
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, budget: Budget = Budget(), block_bytes: int = ITEM_BYTES) -> DataFrame:
     """``docs`` without the rows that hold a benchmark item; columns and other rows as they were."""
     context = docs.sparkSession.sparkContext
-    for block in item_blocks(items, block_bytes):
+    for block in item_blocks(item_rows(items), block_bytes):
         sent = context.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
