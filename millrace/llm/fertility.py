@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -44,8 +44,9 @@ _DDL = {pa.int64(): "long", pa.float64(): "double"}
 @dataclass(frozen=True)
 class Bands:
     """Rejection bands. A measure is rejected beyond ``spreads`` robust deviations from the median of its language and length
-    class; the deviation is at least ``least`` of the median. Classes with under
-    ``few`` different rows use those of all languages, and reject nothing if these are few as well."""
+    class; the deviation is at least ``least`` of the median. A class with under ``few`` different rows takes as many as it lacks
+    from the nearest length classes of its language; if a language has less in all, its bands are wider, by ``few`` over
+    what it has. A byte share is rejected if it is beyond its band and more than ``byte_share`` over the median."""
 
     spreads: float = 5.0
     least_chars: float = 0.02
@@ -160,8 +161,8 @@ def base_failed(col) -> Column:
     return (col("n_words") < 20) | (100 * col("n_repeat_words") > 30 * col("n_words"))
 
 
-def band_table(features: DataFrame, lang: str, prefix: str, bands: Bands) -> tuple[DataFrame, DataFrame]:
-    """Median and robust deviation of each measure by language and length class, and by class alone; over all rows, equal ones once."""
+def band_table(features: DataFrame, lang: str, prefix: str, bands: Bands) -> DataFrame:
+    """Bands of each measure by language and length class; over all rows, equal ones once."""
     col = lambda name: F.col(prefix + name)
     rows = (
         features.where(~base_failed(col))
@@ -170,26 +171,39 @@ def band_table(features: DataFrame, lang: str, prefix: str, bands: Bands) -> tup
             length_class(col("n_tokens")).alias("_class"),
             F.round(col("chars_per_token"), 3).alias("c"),
             F.round(col("entropy"), 3).alias("e"),
+            F.round(col("byte_share"), 3).alias("b"),
             col("n_tokens").alias("n"),
         )
         .distinct()
     )
 
-    def quartiles(keys: list[str]) -> DataFrame:
+    # rows by class, nearest classes first: what each class lacks comes from the next ones, in equal shares from either side
+    sizes = stored(rows.groupBy("_lang", "_class").agg(F.count("*").alias("size")), "class-sizes")
+    to = sizes.select(F.col("_lang").alias("_to_lang"), F.col("_class").alias("_to"))
+    near = to.join(sizes, F.col("_to_lang").eqNullSafe(F.col("_lang"))).withColumn("away", F.abs(F.col("_to") - F.col("_class")))
+    ring = Window.partitionBy("_lang", "_to", "away")
+    nearer = Window.partitionBy("_lang", "_to").orderBy("away").rangeBetween(Window.unboundedPreceding, -1)
+    lacks = F.greatest(F.lit(0), bands.few - F.coalesce(F.sum("size").over(nearer), F.lit(0)))
+    share = F.when(F.col("away") == 0, F.lit(1.0)).otherwise(F.least(F.lit(1.0), lacks / F.sum("size").over(ring)))
+    taken = near.select(F.col("_lang").alias("_of_lang"), F.col("_class").alias("_of"), "_to", share.alias("share")).where("share > 0")
+    taken = checked_broadcast(stored(taken, "class-shares"))
+
+    ends = []
+    for m, least in (("c", F.col("q")[1] * bands.least_chars), ("e", F.col("q")[1] * bands.least_entropy), ("b", F.lit(0.0))):
         # counts by rounded value keep the exact percentiles small; groupBy leaves one row for each value
-        ends = []
-        for m, least in (("c", bands.least_chars), ("e", bands.least_entropy)):
-            counted = rows.groupBy(*keys, m).agg(F.count("*").alias("k"))
-            q = counted.groupBy(*keys).agg(F.percentile(m, [0.25, 0.5, 0.75], F.col("k")).alias("q"), F.sum("k").alias("n"))
-            mid = F.col("q")[1]
-            spread = F.greatest((F.col("q")[2] - F.col("q")[0]) / 1.349, mid * least) * bands.spreads
-            enough = F.col("n") >= bands.few
-            ends.append(q.select(*keys, F.when(enough, mid - spread).alias(f"{m}_low"), F.when(enough, mid + spread).alias(f"{m}_high")))
-        on = [ends[0][k].eqNullSafe(ends[1][k]) for k in keys]
-        both = ends[0].join(ends[1], on, "inner")
-        return both.select(*(ends[0][k] for k in keys), "c_low", "c_high", "e_low", "e_high")
-
-    return quartiles(["_lang", "_class"]), quartiles(["_class"])
+        counted = rows.groupBy("_lang", "_class", m).agg(F.count("*").alias("k"))
+        mine = counted.join(taken, F.col("_lang").eqNullSafe(F.col("_of_lang")) & (F.col("_class") == F.col("_of")))
+        weight = F.ceil(F.col("k") * F.col("share") * 1000).cast("long")
+        q = mine.groupBy("_lang", "_to").agg(F.percentile(m, [0.25, 0.5, 0.75], weight).alias("q"), F.sum(F.col("k") * F.col("share")).alias("n"))
+        wider = F.greatest(F.lit(1.0), bands.few / F.col("n"))
+        spread = F.greatest((F.col("q")[2] - F.col("q")[0]) / 1.349, least) * bands.spreads * wider
+        spread = F.greatest(spread, F.lit(bands.byte_share)) if m == "b" else spread
+        ends.append(q.select("_lang", F.col("_to").alias("_class"), (F.col("q")[1] - spread).alias(f"{m}_low"), (F.col("q")[1] + spread).alias(f"{m}_high")))
+    out = ends[0]
+    for other in ends[1:]:
+        other = other.select(F.col("_lang").alias("_l"), F.col("_class").alias("_c"), *other.columns[2:])
+        out = out.join(other, F.col("_lang").eqNullSafe(F.col("_l")) & F.col("_class").eqNullSafe(F.col("_c"))).drop("_l", "_c")
+    return out
 
 
 def length_class(n_tokens: Column) -> Column:
@@ -199,24 +213,20 @@ def length_class(n_tokens: Column) -> Column:
 def judged(features: DataFrame, lang: str = "lang", prefix: str = "", bands: Bands = Bands()) -> DataFrame:
     """Add ``base_failed`` and ``kept`` (under ``prefix``) to rows with features.
 
-    A document is kept if it passes the base rules, its byte share is within bounds, and characters
-    per token and token entropy lie within the bands. A null language is one of its own.
+    A document is kept if it passes the base rules, its byte share, characters
+    per token and token entropy lie within the bands of its language. A null language is one of its own.
     """
     col = lambda name: F.col(prefix + name)
-    own, general = band_table(features, lang, prefix, bands)
+    own = band_table(features, lang, prefix, bands)
     own = own.select(*(F.col(c).alias(f"_own_{c.lstrip('_')}") for c in own.columns))
-    general = general.select(*(F.col(c).alias(f"_all_{c.lstrip('_')}") for c in general.columns))
     here = length_class(col("n_tokens"))
     own = checked_broadcast(stored(own, "bands"))
-    joined = features.join(own, F.col(lang).eqNullSafe(F.col("_own_lang")) & (here == F.col("_own_class")), "left").join(
-        F.broadcast(general), here == F.col("_all_class"), "left"  # at most one row for each power of two
-    )
+    joined = features.join(own, F.col(lang).eqNullSafe(F.col("_own_lang")) & (here == F.col("_own_class")), "left")
     inside = F.lit(True)
-    for m, name in (("c", "chars_per_token"), ("e", "entropy")):
-        low, high = (F.coalesce(F.col(f"_own_{m}_{end}"), F.col(f"_all_{m}_{end}")) for end in ("low", "high"))
+    for m, name in (("c", "chars_per_token"), ("e", "entropy"), ("b", "byte_share")):
+        low, high = F.col(f"_own_{m}_low"), F.col(f"_own_{m}_high")
         value = F.round(col(name), 3)
         inside = inside & F.coalesce(value >= low, F.lit(True)) & F.coalesce(value <= high, F.lit(True))
-    inside = inside & F.coalesce(col("byte_share") <= bands.byte_share, F.lit(True))
     return joined.select(
         *(F.col(c) for c in features.columns),
         base_failed(col).alias(prefix + "base_failed"),
