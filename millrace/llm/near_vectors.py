@@ -40,14 +40,12 @@ def bits_for(classes: int, bucket: int) -> int:
 
 
 def scaled(values: np.ndarray) -> np.ndarray:
-    """Rows times a power of two that brings the largest component near one: cosines stay as they are, squares cannot overflow or vanish."""
+    """Rows as doubles times a power of two that brings the largest component near one: cosines stay as they are, squares cannot overflow or vanish."""
+    values = values.astype(np.float64)
     _, exponent = np.frexp(np.abs(values).max(axis=1))
     return np.ldexp(values, -exponent[:, None])
 
 
-_CODED = "class long, members long, embedding array<double>, codes array<int>"
-
-
 def _codes(bits: int, tables: int, seed: int):
     """Adds a vector's signs, ``bits`` of them for each table; a vector's length is part of every code's hyperplanes."""
 
@@ -209,7 +207,9 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.9, recall: float = 0.9999
     A pair just at the threshold is found with probability ``recall`` and a closer one more surely; none below the
     threshold links. The number of tables follows from it, that of signs from the number of classes.
     """
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
+    kind = vectors.schema["embedding"].dataType.simpleString()
+    kind = kind if kind == "array<float>" else "array<double>"  # floats move as floats; all arithmetic is in doubles
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(kind).alias("embedding"))
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     sound = F.col("vec_id").isNotNull() & finite & F.exists("embedding", lambda x: x != 0)
     judged = rows.select("vec_id", "embedding", F.coalesce(sound, F.lit(False)).alias("sound"))
@@ -219,7 +219,7 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.9, recall: float = 0.9999
     many = classes.count()
     bits = bits_for(many, bucket)
     tables = tables_needed(cosine, bits, recall)
-    coded = stored(classes.select("class", "members", "embedding").mapInArrow(_codes(bits, tables, seed), _CODED), "vector-codes")
+    coded = stored(classes.select("class", "members", "embedding").mapInArrow(_codes(bits, tables, seed), f"class long, members long, embedding {kind}, codes array<int>"), "vector-codes")
     grouped = _in_blocks(coded, block).repartition(*_KEY).sortWithinPartitions(*_KEY)
     found = stored(grouped.mapInArrow(_buckets(cosine), _FOUND), "vector-links")
     links = found.groupBy("class").agg(F.sum("links").alias("links"))
