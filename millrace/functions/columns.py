@@ -42,12 +42,9 @@ def bare(word: str) -> Column:
     return F.btrim(F.col(word), F.lit(TOKEN_EDGES))
 
 
-def salt(columns: Sequence[str], measure: str | None, n: int) -> Column:
-    """A number below ``n`` from stable columns: a task that runs again draws the same salt, unlike ``rand()``."""
-    inputs = [F.col(c) for c in columns]
-    if measure:
-        inputs.append(F.coalesce(F.col(measure), F.lit(0.0)))
-    return F.pmod(F.hash(*inputs), F.lit(n))
+def salt(stable: Sequence[str], n: int | Column) -> Column:
+    """A number below ``n`` from columns that identify a row: a task that runs again draws the same one, unlike ``rand()``."""
+    return F.pmod(F.xxhash64(*stable), n if isinstance(n, Column) else F.lit(n)).cast("int")
 
 
 def hash_partition(c: str, n: int) -> Column:

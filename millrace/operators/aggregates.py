@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import salt
 from millrace.operators.facts import udf_filter
 from millrace.operators.ranking import quantiles
 
@@ -77,9 +76,14 @@ def workload(df: DataFrame, key: str, value: str) -> DataFrame:
     return df.groupBy(key).agg(F.avg(value).alias("avg_value"), F.count("*").alias("n"))
 
 
-def month_count(spark: SparkSession, path: str, month: int, c: str = "game_month") -> DataFrame:
-    """Rows of one month, all years together, on any layout."""
-    return filtered_count(spark.read.parquet(path), F.col(c) == month)
+def in_month(month: int, folders: str | None = None) -> Column:
+    """Rows of one month, all years together. In folders by date the month is asked of the date, so that folders are pruned."""
+    return F.month(folders) == month if folders == "game_date" else F.col("game_month") == month
+
+
+def month_count(spark: SparkSession, path: str, month: int, folders: str | None = None) -> DataFrame:
+    """Rows of one month on any layout; ``folders`` names the column of its folders."""
+    return filtered_count(spark.read.parquet(path), in_month(month, folders))
 
 
 def entity_avg(spark: SparkSession, path: str, entity: str, value: str, ident: int) -> DataFrame:
@@ -105,6 +109,17 @@ def cardinality(df: DataFrame, columns: Sequence[str], approx: bool = False) ->
     return df.agg(F.count("*").alias("n_rows"), *[count(F.col(c)).alias(f"distinct_{c}") for c in columns])
 
 
+def day_sketches(df: DataFrame, day: str, columns: Sequence[str], precision: int = 12) -> DataFrame:
+    """Rows and one mergeable distinct-count sketch a column for each day: a table to store and add to, a few KB a day."""
+    return df.groupBy(day).agg(F.count("*").alias("n_rows"), *[F.hll_sketch_agg(c, precision).alias(f"sketch_{c}") for c in columns])
+
+
+def united_counts(sketches: DataFrame, columns: Sequence[str], by: Sequence[Column] = ()) -> DataFrame:
+    """Rows and distinct values of several days from their sketches; the rows behind them are not read again."""
+    united = [F.hll_sketch_estimate(F.hll_union_agg(f"sketch_{c}")).alias(f"distinct_{c}") for c in columns]
+    return sketches.groupBy(*by).agg(F.sum("n_rows").alias("n_rows"), *united)
+
+
 def table_ratio(a: DataFrame, b: DataFrame, floor: float = 3.0) -> DataFrame:
     """Rows of two tables, their ratio, and whether it is below ``floor``."""
     one = F.count("*").alias("n")
@@ -117,15 +132,20 @@ def table_ratio(a: DataFrame, b: DataFrame, floor: float = 3.0) -> DataFrame:
     return both.select("n_a", "n_b", F.round(ratio, 1).alias("ratio"), (ratio < floor).alias("low"))
 
 
-def two_stage(df: DataFrame, key: str, value: str, stable: Sequence[str], n: int) -> DataFrame:
-    """Mean and count of a hot key in two steps: per (key, salt), then per key."""
-    salted = df.withColumn("_salt", salt(stable, value, n))
-    partial = salted.groupBy(key, "_salt").agg(
-        F.count("*").alias("_n"), F.sum(value).alias("_sum"), F.count(value).alias("_filled")
-    )
-    return partial.groupBy(key).agg(
-        F.sum("_n").alias("n"), (F.sum("_sum") / F.sum("_filled")).alias("avg_value")
+def two_stage(df: DataFrame, key: str, value: str, counted: str, middle: str) -> DataFrame:
+    """Rows, mean, exact distinct ``counted`` values and exact median of ``middle`` per key; a hot key's values never meet in one task.
+
+    Stage one groups by key and ``counted`` value, so a key's rows spread by the hash of that value; what is left of a key
+    is one sum for each task. A median does not combine: its values are range-sorted (see ``quantiles``).
+    """
+    shares = df.groupBy(key, counted).agg(F.count("*").alias("_n"), F.sum(value).alias("_sum"), F.count(value).alias("_filled"))
+    report = shares.groupBy(key).agg(
+        F.sum("_n").alias("n"),
+        F.try_divide(F.sum("_sum"), F.sum("_filled")).alias("avg_value"),
+        F.count(counted).alias("distinct_values"),
     )
+    medians = quantiles(df, key, middle, {"median_value": 0.5}).withColumnRenamed(key, "_key")
+    return report.join(medians, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
 
 
 def five_number(df: DataFrame, key: str, value: str) -> DataFrame:

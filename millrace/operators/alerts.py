@@ -22,10 +22,12 @@ def hot_keys(df: DataFrame, key: str, share: float | None = None) -> DataFrame:
 
 def drops(
     df: DataFrame, entity: str, ts: str, seq: str, value: str, last: int = 10, fall: float = 3.0,
-    share: float | None = None, slice_rows: int = 1_000_000,
+    share: float | None = None, slice_rows: int = 1_000_000, within: str | None = None,
 ) -> DataFrame:
     """Rows whose value is ``fall`` or more below the highest of the ``last - 1`` rows before, per entity by (ts, seq).
 
+    Of these rows only those no older than ``within`` (an interval such as "2 days") count, if it is given.
+
     The rows of an entity with ``share`` of all rows or more (see ``hot_keys``) are numbered and cut into
     slices of ``slice_rows``, which run as separate groups; each starts with a
     copy of the last rows of the slice before.
@@ -47,8 +49,13 @@ def drops(
         cold = grouped.join(listed, is_hot, "left_anti")
         grouped = cold.unionByName(own.drop("_pos")).unionByName(copies.drop("_pos"))
     before = Window.partitionBy(entity, "_slice").orderBy(ts, seq).rowsBetween(-back, -1)
+    highest = F.max(value).over(before)
+    if within:
+        recent = F.col(ts) - F.expr(f"INTERVAL {within}")
+        rows_before = F.collect_list(F.struct(F.col(ts).alias("ts"), F.col(value).alias("value"))).over(before)  # last - 1 at most
+        highest = F.array_max(F.transform(F.filter(rows_before, lambda r: r.ts >= recent), lambda r: r.value))
     return (
-        grouped.withColumn("prev_max", F.max(value).over(before))
+        grouped.withColumn("prev_max", highest)
         .where(~F.col("_copy") & (F.col("prev_max") - F.col(value) >= fall))
         .select(seq, entity, "prev_max", value)
     )

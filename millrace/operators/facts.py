@@ -73,11 +73,15 @@ def outcome_dim(fact: DataFrame, c: str = "events", outs: str = fixed.OUT_PATTER
     )
 
 
+def terminal_rows(fact: DataFrame, outcome: str, keys: Sequence[str], wanted: Sequence[str], required: Sequence[str] = ()) -> DataFrame:
+    """One row per key among the rows that carry an outcome, with those of the wanted columns that there are."""
+    require_columns(fact, [outcome, *keys, *required])
+    return dedup(keep_existing(fact.where(F.col(outcome).isNotNull()), wanted), keys)
+
+
 def plate_appearances(fact: DataFrame) -> DataFrame:
     """One row per (game, at-bat) among the rows that carry an outcome."""
-    require_columns(fact, ["game_pk", "at_bat_number", "events", "batter", "home_team"])
-    ended = keep_existing(fact.where(F.col("events").isNotNull()), fixed.PLATE_APPEARANCE_COLUMNS)
-    return dedup(ended, ["game_pk", "at_bat_number"])
+    return terminal_rows(fact, "events", ["game_pk", "at_bat_number"], fixed.PLATE_APPEARANCE_COLUMNS, ["batter", "home_team"])
 
 
 def build_corpus(df: DataFrame, text: str, keys: Sequence[str]) -> DataFrame:

@@ -4,21 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 64 << 20
+UNKNOWN_BYTES = 1 << 62  # from here on the planner's size is a default, not an estimate
 
 
 def checked_broadcast(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Hint a broadcast if ``dim`` is proven to fit, else leave the choice to Spark.
 
-    The proof counts rows and bytes of at most ``max_rows + 1`` rows, so it stays
-    cheap on a table that is too large. Pass a stored table.
+    The proof counts rows and bytes where they lie; none moves. A table whose files are over 64 times
+    the bound, as the planner knows them, is not even counted. Pass a stored table.
     """
-    width = F.octet_length(F.to_json(F.struct(*dim.columns)))
-    size = dim.limit(max_rows + 1).agg(F.count("*").alias("n"), F.sum(width).alias("b")).first()
+    known = dim._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if 64 * max_bytes < known < UNKNOWN_BYTES:
+        return dim
+    size = dim.agg(F.count("*").alias("n"), F.sum(F.octet_length(F.to_json(F.struct(*dim.columns)))).alias("b")).first()
     fits = size["n"] <= max_rows and (size["b"] or 0) <= max_bytes
     return F.broadcast(dim) if fits else dim
 
@@ -38,6 +41,22 @@ def join_rare(a: DataFrame, b: DataFrame, on: Column | Sequence[str], rare: Colu
     return a.join(b.where(rare), on, "inner")
 
 
+def filter_session(spark: SparkSession, scan_bytes: int = 10 << 30) -> SparkSession:
+    """A session in which a join of two large tables sends a Bloom filter of one side's keys to the other's scan.
+
+    For a rare side that has outgrown a broadcast: rows without a partner go before the shuffle. Spark builds the
+    filter only if that side is filtered, and uses it on scans of over ``scan_bytes``.
+    """
+    session = spark.newSession()
+    for key, value in {
+        "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+        "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": str(scan_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }.items():
+        session.conf.set(key, value)
+    return session
+
+
 def join_outcome(fact: DataFrame, dim: DataFrame, key: str, dim_key: str, how: str = "left") -> DataFrame:
     """Fact and dimension on a key that is NULL on most fact rows; strategy left to Spark."""
     return fact.join(dim, fact[key] == dim[dim_key], how)

@@ -5,12 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import hash_partition, salt
 from millrace.operators.aggregates import workload
-from millrace.operators.alerts import hot_keys
 from millrace.operators.joins import by_flag, join_outcome
 from millrace.session import stored
 
@@ -49,6 +48,7 @@ def _profile_keys(counts: DataFrame) -> DataFrame:
 def _profile_partitions(counts: DataFrame) -> DataFrame:
     per_pid = counts.groupBy("key", "pid").agg(F.sum("n").alias("n"))
     return per_pid.groupBy("key").agg(
+        F.sum("n").alias("n_rows"),
         F.count("*").alias("partitions_nonempty"),
         F.max("n").alias("max_rows"),
         F.percentile("n", F.lit(0.5)).alias("median_rows"),
@@ -92,7 +92,7 @@ def fair_share(df: DataFrame, keys: Sequence[str], n: int = PARTITIONS) -> DataF
 def profile_keys(df: DataFrame, keys: Sequence[str], n: int = PARTITIONS) -> DataFrame:
     """Key and partition ratios of several keys; ``widest`` marks the key where they differ most."""
     counts = _key_counts(df, keys, n)
-    by_key = _profile_keys(counts).select("key", "distinct_keys", "hottest_key", "hottest_rows", "skew_ratio")
+    by_key = _profile_keys(counts).select("key", "distinct_keys", "hottest_key", "hottest_rows", "median_rows", "skew_ratio")
     by_pid = _profile_partitions(counts).select("key", "partitions_nonempty", "max_rows", "partition_skew_ratio")
     gap = F.abs(F.col("skew_ratio") - F.col("partition_skew_ratio"))
     first = Window.orderBy(F.desc("_gap"), "key")  # one row per profiled column
@@ -104,8 +104,8 @@ def profile_keys(df: DataFrame, keys: Sequence[str], n: int = PARTITIONS) -> Dat
     )
 
 
-def with_salt(df: DataFrame, stable: Sequence[str], measure: str | None, n: int) -> DataFrame:
-    return df.withColumn("_salt", salt(stable, measure, n))
+def with_salt(df: DataFrame, stable: Sequence[str], n: int) -> DataFrame:
+    return df.withColumn("_salt", salt(stable, n))
 
 
 def explode_dim(dim: DataFrame, n: int) -> DataFrame:
@@ -113,31 +113,47 @@ def explode_dim(dim: DataFrame, n: int) -> DataFrame:
     return dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
 
 
+def heavy_keys(df: DataFrame, key: str, slots: int, spread: float = 2.0) -> DataFrame:
+    """Keys that fill over one of ``slots`` equal parts of the non-NULL rows, and how many salts each gets: ``spread`` times its share of the slots.
+
+    One pass with a mergeable sketch that tracks 16 items a slot; no key is shuffled. Counts are near enough to balance tasks,
+    and no result depends on them. All salts together are at most ``spread * slots``, so what they copy is as well.
+    """
+    sketch = F.expr(f"approx_top_k(`{key}`, {slots}, {min(1_000_000, 16 * slots)})")
+    top = df.where(F.col(key).isNotNull()).agg(sketch.alias("top"), F.count("*").alias("rows"))
+    salts = F.floor(F.col("heavy.count") * spread * slots / F.col("rows")).cast("int")
+    rows = top.select(F.explode("top").alias("heavy"), "rows").where(F.col("heavy.count") * slots > F.col("rows"))
+    return stored(rows.select(F.col("heavy.item").alias("_hot_key"), F.greatest(salts, F.lit(1)).alias("_salts")), "heavy-keys")
+
+
 def salted_join(
-    fact: DataFrame, dim: DataFrame, key: str, dim_key: str, stable: Sequence[str], measure: str | None,
-    n: int | None = None, share: float | None = None,
+    fact: DataFrame, dim: DataFrame, key: str, dim_key: str, stable: Sequence[str], n: int | None = None, spread: float = 2.0
 ) -> DataFrame:
-    """Left join in which each hot key (see ``hot_keys``) spreads over ``n`` groups, and its dimension rows with it.
+    """Left join in which each heavy key (see ``heavy_keys``) spreads over as many salts as its share of ``n`` slots asks for, and its dimension rows with it.
 
-    All other keys have one salt, so their dimension rows are not copied. Rows with a NULL key cannot match and
-    pass by the join. ``n`` is by default the number of shuffle partitions; more would only copy further.
+    All other keys have one salt, so their dimension rows are not copied. Rows with a NULL key match nothing and are dealt
+    over all slots. ``n`` is by default the number of shuffle partitions. The fact is read twice: for the sketch and for the join.
     """
     n = n or int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keyed, bare = fact.where(F.col(key).isNotNull()), fact.where(F.col(key).isNull())
-    hot = F.broadcast(stored(hot_keys(keyed, key, share), "hot_keys"))  # at most one row for each share
-    marked = keyed.join(hot, F.col(key) == F.col("_hot_key"), "left")
-    f = marked.withColumn("_salt", F.when(F.col("_hot_key").isNotNull(), salt(stable, measure, n)).otherwise(0)).drop("_hot_key")
-    salts = F.when(F.col("_hot_key").isNotNull(), F.sequence(F.lit(0), F.lit(n - 1))).otherwise(F.array(F.lit(0)))
-    d = dim.join(hot, F.col(dim_key) == F.col("_hot_key"), "left").withColumn("_dim_salt", F.explode(salts)).drop("_hot_key").hint("merge")
-    joined = f.join(d, (F.col(key) == F.col(dim_key)) & (F.col("_salt") == F.col("_dim_salt")), "left").drop("_salt", "_dim_salt")
-    return joined.unionByName(bare.withColumns({c.name: F.lit(None).cast(c.dataType) for c in dim.schema}))
+    heavy = F.broadcast(heavy_keys(fact, key, n, spread))  # under n rows
+    marked = fact.join(heavy, F.col(key) == F.col("_hot_key"), "left")
+    slot = F.when(F.col(key).isNull(), salt(stable, n)).otherwise(F.when(F.col("_salts").isNull(), 0).otherwise(salt(stable, F.col("_salts"))))
+    f = marked.withColumn("_salt", slot).drop("_hot_key", "_salts")
+    salts = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
+    d = dim.join(heavy, F.col(dim_key) == F.col("_hot_key"), "left").withColumn("_dim_salt", F.explode(salts)).drop("_hot_key", "_salts").hint("merge")
+    return f.join(d, (F.col(key) == F.col(dim_key)) & (F.col("_salt") == F.col("_dim_salt")), "left").drop("_salt", "_dim_salt")
+
+
+def skew_bytes(stored_bytes: int, partitions: int) -> int:
+    """What a shuffle partition of a stored table holds on average; Spark's own 256 MB where that is more."""
+    return max(1, min(256 << 20, stored_bytes // partitions))
 
 
 def skew_session(spark: SparkSession, partition_bytes: int = 256 << 20, factor: float = 5.0, advisory: int = 64 << 20) -> SparkSession:
     """A session of the same application in which adaptive execution splits partitions above ``partition_bytes``.
 
-    Small test tables need small thresholds: a partition counts as skewed only
-    above both the bytes and ``factor`` times the median.
+    A partition counts as skewed only above both the bytes and ``factor`` times the median; ``skew_bytes``
+    gives bytes that fit a table. Only the output of several map tasks can be split: store the fact in several files.
     """
     session = spark.newSession()
     for key, value in {
@@ -159,19 +175,24 @@ def skew_join(fact: DataFrame, dim: DataFrame, key: str, dim_key: str) -> DataFr
 
 def salt_sweep(fact: DataFrame, dim: DataFrame, key: str, dim_key: str, stable: Sequence[str], measure: str,
                flag: str, counts: Sequence[int] = (4, 16, 64)) -> DataFrame:
-    """The flag report of ``salted_join`` for several salt counts."""
+    """The flag report of ``salted_join`` for several numbers of slots."""
     reports = [
-        by_flag(salted_join(fact, dim, key, dim_key, stable, measure, n), flag, measure).withColumn("salts", F.lit(n))
+        by_flag(salted_join(fact, dim, key, dim_key, stable, n), flag, measure).withColumn("salts", F.lit(n))
         for n in counts
     ]
     return reduce(DataFrame.unionByName, reports)
 
 
 def partition_sweep(df: DataFrame, key: str, value: str, counts: Sequence[int]) -> DataFrame:
-    """The workload on ``df`` cut into 1, 2, ... partitions; its answer must not depend on the cut. ``used`` counts the partitions that got rows."""
+    """The workload on ``df`` cut into 1, 2, ... partitions; its answer must not depend on the cut. ``used`` counts the partitions that got rows.
+
+    The input is stored first. Each cut runs once: what it used is observed while the workload runs over it.
+    """
+    rows = stored(df.select(key, value), "sweep-input")
     runs = []
     for n in counts:
-        cut = df.select(key, value).repartition(n).withColumn("_part", F.spark_partition_id())
-        used = cut.agg(F.count_distinct("_part")).scalar()
-        runs.append(workload(cut, key, value).select("*", F.lit(n).alias("partitions"), used.alias("used")))
+        seen = Observation()
+        cut = rows.repartition(n).withColumn("_part", F.spark_partition_id())
+        report = stored(workload(cut.observe(seen, F.size(F.collect_set("_part")).alias("used")), key, value), "sweep")
+        runs.append(report.select("*", F.lit(n).alias("partitions"), F.lit(seen.get["used"]).cast("long").alias("used")))
     return reduce(DataFrame.unionByName, runs)

@@ -11,10 +11,11 @@ from millrace.operators.facts import build_corpus
 from millrace.operators.joins import by_flag, join_outcome_apart
 from millrace.operators.ranking import top_k
 from millrace.plans import inputs
-from millrace.plans.registry import query, rounded, table
+from millrace.plans.registry import query, rounded, staged, table
 from millrace.plans.rows import TOKENS_SQL
 from millrace.sources import files
-from millrace.sources.layout import spread
+from millrace.session import shared_path
+from millrace.sources.layout import spread, write_text
 
 FAST = ("l_returnflag", "l_quantity", "l_extendedprice", 40.0)
 FAST_SQL = """
@@ -96,15 +97,53 @@ def agg_workload(spark, data):
     "SELECT l.layout, count(*) AS n FROM lineitem, (VALUES ('flat'), ('by_month')) l(layout) WHERE month(l_shipdate) = 7 GROUP BY 1",
 )
 def agg_month_count(spark, data):
-    layouts = {"flat": inputs.flat_fact(spark, data), "by_month": inputs.monthly_fact(spark, data)}
-    counts = [agg.month_count(spark, p, 7).select(F.lit(name).alias("layout"), "n") for name, p in layouts.items()]
+    """One month of the flat table and of folders by month; ``layout_race`` has folders by date as well."""
+    layouts = {"flat": (inputs.flat_fact, None), "by_month": (inputs.monthly_fact, "game_month")}
+    counts = [agg.month_count(spark, at(spark, data), 7, folders).select(F.lit(name).alias("layout"), "n") for name, (at, folders) in layouts.items()]
     return reduce(DataFrame.unionByName, counts)
 
 
-@query("agg_entity_avg", "SELECT round(avg(l_extendedprice), 4) AS avg_value FROM lineitem WHERE l_suppkey = 7")
+@query(
+    "agg_entity_avg",
+    """
+SELECT l.layout, round(avg(l_extendedprice), 4) AS avg_value
+FROM lineitem, (VALUES ('flat'), ('by_month'), ('by_supplier')) l(layout) WHERE l_suppkey = 7 GROUP BY 1
+""",
+)
 def agg_entity_avg(spark, data):
-    one = agg.entity_avg(spark, inputs.flat_fact(spark, data), "l_suppkey", "l_extendedprice", 7)
-    return rounded(one, "avg_value", places=4)
+    """One entity on three layouts; only the one clustered by it spares reading the others."""
+    layouts = {"flat": inputs.flat_fact, "by_month": inputs.monthly_fact, "by_supplier": inputs.clustered_fact}
+    means = [
+        agg.entity_avg(spark, at(spark, data), "l_suppkey", "l_extendedprice", 7).select(F.lit(name).alias("layout"), "avg_value")
+        for name, at in layouts.items()
+    ]
+    return rounded(reduce(DataFrame.unionByName, means), "avg_value", places=4)
+
+
+@query(
+    "layout_race",
+    """
+SELECT l.layout, 'month' AS question, count(*) FILTER (WHERE month(l_shipdate) = 7)::DOUBLE AS answer FROM lineitem, (VALUES ('flat'), ('by_month'), ('by_date')) l(layout) GROUP BY 1
+UNION ALL
+SELECT l.layout, 'entity', round(avg(l_extendedprice) FILTER (WHERE l_suppkey = 7), 4) FROM lineitem, (VALUES ('flat'), ('by_month'), ('by_date')) l(layout) GROUP BY 1
+UNION ALL
+SELECT l.layout, 'frequent', count(*)::DOUBLE FROM (SELECT l_partkey FROM lineitem GROUP BY l_partkey HAVING count(*) >= 35), (VALUES ('flat'), ('by_month'), ('by_date')) l(layout)
+GROUP BY 1
+""",
+)
+def layout_race(spark, data):
+    """Three questions on three layouts of one fact. Folders by date are many small files here: the one month they prune is what they are good for."""
+    layouts = {"flat": (inputs.flat_fact, None), "by_month": (inputs.monthly_fact, "game_month"), "by_date": (inputs.dated_fact, "game_date")}
+    answers = []
+    for name, (at, folders) in layouts.items():
+        path = at(spark, data)
+        asked = {
+            "month": agg.month_count(spark, path, 7, folders),
+            "entity": rounded(agg.entity_avg(spark, path, "l_suppkey", "l_extendedprice", 7), "avg_value", places=4),
+            "frequent": agg.full_count(agg.frequent(spark.read.parquet(path), "l_partkey", 35)),
+        }
+        answers += [a.select(F.lit(name).alias("layout"), F.lit(q).alias("question"), F.col(a.columns[0]).cast("double").alias("answer")) for q, a in asked.items()]
+    return reduce(DataFrame.unionByName, answers)
 
 
 @query(
@@ -140,17 +179,20 @@ def agg_distinct_counts(spark, data):
 @query(
     "agg_distinct_approx",
     """
-SELECT count(*) AS n_rows, count(DISTINCT user_id) AS distinct_user_id, count(DISTINCT event_type) AS distinct_event_type, true AS near
-FROM events
+SELECT month(ts)::INT AS month, count(*) AS n_rows, count(DISTINCT user_id) AS distinct_user_id, count(DISTINCT event_type) AS distinct_event_type
+FROM events GROUP BY 1
 """,
 )
 def agg_distinct_approx(spark, data):
-    """Exact counts, and whether the sketch is within three times its standard error of 5 %."""
+    """Distinct values a month, united from stored sketches of the days. A sketch of under some 500 values is exact, as the users are here."""
     columns = ["user_id", "event_type"]
-    exact = agg.cardinality(table(spark, data, "events"), columns)
-    sketch = agg.cardinality(table(spark, data, "events"), columns, approx=True).toDF("_n", *[f"_{c}" for c in columns])
-    near = [F.abs(F.col(f"_{c}") - F.col(f"distinct_{c}")) <= 0.15 * F.col(f"distinct_{c}") for c in columns]
-    return exact.join(sketch, F.col("n_rows") == F.col("_n")).select(*exact.columns, (near[0] & near[1]).alias("near"))
+
+    def build(path):
+        days = table(spark, data, "events").withColumn("day", F.to_date("ts"))
+        agg.day_sketches(days, "day", columns).write.parquet(path)
+
+    sketches = spark.read.parquet(staged(spark, data, "day_sketches", build))
+    return agg.united_counts(sketches, columns, [F.month("day").alias("month")])
 
 
 @query(
@@ -182,10 +224,16 @@ def agg_skewed_key(spark, data):
     return rounded(agg.workload(inputs.skewed_events(spark, data), "k", "value"), "avg_value")
 
 
-@query("agg_two_stage", HOT_SQL)
+@query(
+    "agg_two_stage",
+    """
+SELECT k, count(*) AS n, round(avg(value), 6) AS avg_value, count(DISTINCT user_id) AS distinct_values, round(median(value), 6) AS median_value
+FROM (SELECT value, user_id, CASE WHEN event_id % 4 = 0 THEN event_type END AS k FROM events) GROUP BY k
+""",
+)
 def agg_two_stage(spark, data):
-    staged = agg.two_stage(inputs.skewed_events(spark, data), "k", "value", ["event_id", "user_id"], 16)
-    return rounded(staged, "avg_value")
+    report = agg.two_stage(inputs.skewed_events(spark, data), "k", "value", "user_id", "value")
+    return rounded(report, "avg_value", "median_value")
 
 
 @query(
@@ -213,6 +261,22 @@ def corpus_of(spark, data):
     return plays.groupBy("text").agg(F.count("*").alias("n"))
 
 
+@query(
+    "corpus_replicated",
+    """
+SELECT line, 4 * count(*) AS n FROM (
+  SELECT unnest(string_split(text, chr(10))) AS line FROM (SELECT DISTINCT text FROM documents WHERE text IS NOT NULL AND trim(text) <> ''))
+GROUP BY line
+""",
+)
+def corpus_replicated(spark, data):
+    """The whole job: texts that are not blank, one each, stacked four times, written as text, read back and counted by line."""
+    keyed = table(spark, data, "documents").withColumn("text_key", F.sha2("text", 256))
+    path = shared_path(spark, "corpus_replicated")
+    write_text(agg.replicate(build_corpus(keyed, "text", ["text_key"]), 4), path)
+    return spark.read.text(path).groupBy(F.col("value").alias("line")).agg(F.count("*").alias("n"))
+
+
 @query("tokenise", TOKENS_SQL)
 def tokenise(spark, data):
     return txt.tokens(spread(table(spark, data, "documents")), "text").groupBy("word").agg(F.count("*").alias("n"))

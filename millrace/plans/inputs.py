@@ -10,7 +10,7 @@ from millrace.operators import log
 from millrace.operators.facts import outcome_dim, with_dates
 from millrace.plans.registry import staged, table
 from millrace.sources.files import scan_events
-from millrace.sources.layout import spread, write_dim, write_files, write_partitioned, write_text
+from millrace.sources.layout import spread, write_clustered, write_dim, write_files, write_partitioned, write_text
 
 LINEITEM_DDL = (
     "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
@@ -61,6 +61,25 @@ def monthly_fact(spark: SparkSession, data: str) -> str:
     return staged(spark, data, "fact_by_month", build)
 
 
+def dated_fact(spark: SparkSession, data: str) -> str:
+    def build(path: str) -> None:
+        write_partitioned(dated_lineitem(spark, data), path, ["game_date"])
+
+    return staged(spark, data, "fact_by_date", build)
+
+
+def clustered_fact(spark: SparkSession, data: str) -> str:
+    def build(path: str) -> None:
+        write_clustered(dated_lineitem(spark, data), path, ["l_suppkey"], 8)
+
+    return staged(spark, data, "fact_by_supplier", build)
+
+
+def skewed_fact(spark: SparkSession, data: str) -> str:
+    """``skewed_events`` in 16 files, so that 16 tasks feed a shuffle."""
+    return staged(spark, data, "skewed_events", lambda path: write_files(skewed_events(spark, data), path, 16))
+
+
 def corpus(spark: SparkSession, data: str) -> str:
     def build(path: str) -> None:
         write_text(table(spark, data, "documents").select("text"), path)

@@ -10,6 +10,7 @@ from millrace.operators.joins import by_flag, checked_broadcast
 from millrace.plans import inputs
 from millrace.plans.aggs import FLAG_SQL
 from millrace.plans.registry import query, rounded, table
+from millrace.sources.files import path_size
 
 FACTS_SQL = """
 SELECT l_orderkey, l_linenumber, l_quantity, o_orderpriority, o_totalprice
@@ -71,6 +72,14 @@ def join_filtered_adaptive(spark, data):
     return _narrow(joins.join_rare(*_facts(spark, data), rare))
 
 
+@query("join_filtered_bloom", RARE_SQL)
+def join_filtered_bloom(spark, data):
+    """The rare side counts as too large for a broadcast: a Bloom filter of its keys reaches the fact's scan."""
+    session = joins.filter_session(spark, scan_bytes=1)
+    rare = (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_custkey") % 50 == 0)
+    return _narrow(joins.join_rare(*_facts(session, data), rare))
+
+
 @query("join_left_nullkey", FLAG_SQL)
 def join_left_nullkey(spark, data):
     fact, dim = _flag_inputs(spark, data)
@@ -98,8 +107,11 @@ def join_salted(spark, data):
 
 @query("join_skew_adaptive", FLAG_SQL)
 def join_skew_adaptive(spark, data):
-    session = skew.skew_session(spark)
-    fact, dim = inputs.skewed_events(session, data), session.read.parquet(inputs.outcomes(spark, data))
+    path = inputs.skewed_fact(spark, data)
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    average = skew.skew_bytes(path_size(spark, path).first()["bytes"], partitions)
+    session = skew.skew_session(spark, partition_bytes=average, factor=1.5, advisory=average)
+    fact, dim = session.read.parquet(path), session.read.parquet(inputs.outcomes(spark, data))
     return _flags(skew.skew_join(fact, dim, "k", "event_type"))
 
 
@@ -115,7 +127,7 @@ def join_same_result(spark, data):
     plain = joins.join_outcome_apart(fact, dim, "k", "event_type").select("event_id", "is_out")
     counted = []
     for n in (4, 16, 64):
-        salted = skew.salted_join(fact, dim, "k", "event_type", ["event_id", "user_id"], "value", n).select("event_id", "is_out")
+        salted = skew.salted_join(fact, dim, "k", "event_type", ["event_id", "user_id"], n).select("event_id", "is_out")
         rows = plain.withColumn("_plain", F.lit(True)).unionByName(salted.withColumn("_plain", F.lit(False)))
         sides = rows.groupBy("event_id", "is_out").agg(F.count_if("_plain").alias("a"), F.count_if(~F.col("_plain")).alias("b"))
         sums = [F.sum("a").alias("rows_plain"), F.sum("b").alias("rows_salted"), F.sum(F.abs(F.col("a") - F.col("b"))).alias("rows_differ")]
@@ -152,16 +164,11 @@ def repartition_sweep(spark, data):
 K_SQL = "(SELECT CASE WHEN event_id % 4 = 0 THEN event_type END AS k FROM events)"
 
 
-@query(
-    "partition_sizes",
-    f"SELECT 8::BIGINT AS partitions, count(*) AS n, true AS holds_hottest FROM {K_SQL}",
-)
+@query("partition_sizes", f"SELECT 8::BIGINT AS partitions, count(*) AS n FROM {K_SQL}")
 def partition_sizes(spark, data):
-    """Which partition gets what is the hash's choice; their number, their sum, and that one holds the hottest key are not."""
-    events = inputs.skewed_events(spark, data)
-    hottest = events.groupBy("k").agg(F.count("*").alias("n")).agg(F.max("n")).scalar()
-    sizes = skew.partition_sizes(events, "k", 8)
-    return sizes.agg(F.count("*").alias("partitions"), F.sum("n").alias("n"), (F.max("n") >= hottest).alias("holds_hottest"))
+    """Which partition gets what is the hash's choice; their number and their sum are not."""
+    sizes = skew.partition_sizes(inputs.skewed_events(spark, data), "k", 8)
+    return sizes.agg(F.count("*").alias("partitions"), F.sum("n").alias("n"))
 
 
 @query(
@@ -176,17 +183,13 @@ def key_profile(spark, data):
     return skew.key_profile(inputs.skewed_events(spark, data), "k")
 
 
-@query(
-    "partition_profile",
-    f"SELECT 'k' AS key, true AS holds_hottest, true AS few_enough FROM (SELECT count(DISTINCT k) FROM {K_SQL})",
-)
+@query("partition_profile", f"SELECT 'k' AS key, count(*) AS n_rows, count(*) AS one_partition FROM {K_SQL}")
 def partition_profile(spark, data):
-    """The largest partition holds the hottest key, and no more partitions have rows than there are keys."""
+    """Rows over 16 partitions, and over a single one: there the profile does not depend on the hash."""
     events = inputs.skewed_events(spark, data)
-    keys = events.groupBy("k").agg(F.count("*").alias("n"))
-    hottest, many = keys.agg(F.max("n")).scalar(), keys.agg(F.count("*")).scalar()
+    one = skew.partition_profile(events, "k", 1).select(F.col("key").alias("_key"), F.col("max_rows").alias("one_partition"))
     profile = skew.partition_profile(events, "k", 16)
-    return profile.select("key", (F.col("max_rows") >= hottest).alias("holds_hottest"), (F.col("partitions_nonempty") <= many).alias("few_enough"))
+    return profile.join(one, F.col("key") == F.col("_key")).select("key", "n_rows", "one_partition")
 
 
 @query(
@@ -203,15 +206,32 @@ def fair_share(spark, data):
     return skew.fair_share(inputs.skewed_events(spark, data), ["user_id", "k"], 16)
 
 
-@query("profile_keys")
+_KEYS_SQL = " UNION ALL ".join(
+    f"SELECT '{k}' AS key, {k}::VARCHAR AS value, count(*) AS n FROM (SELECT user_id, event_id, CASE WHEN event_id % 4 = 0 THEN event_type END AS k FROM events) GROUP BY {k}"
+    for k in ("user_id", "k", "event_id")
+)
+
+
+@query(
+    "profile_keys",
+    f"""
+WITH c AS ({_KEYS_SQL})
+SELECT key, count(*) AS distinct_keys, (SELECT value FROM c x WHERE x.key = c.key ORDER BY n DESC, value NULLS FIRST LIMIT 1) AS hottest_key,
+       max(n) AS hottest_rows, median(n) AS median_rows, round(max(n) / median(n), 2) AS skew_ratio, true AS fits
+FROM c GROUP BY key
+""",
+)
 def profile_keys(spark, data):
-    return skew.profile_keys(inputs.skewed_events(spark, data), ["user_id", "k", "event_id"], 16)
+    """Both profiles of three keys. The partitions are the hash's choice, but no more of them have rows than there are keys and the largest holds the hottest key's rows."""
+    both = skew.profile_keys(inputs.skewed_events(spark, data), ["user_id", "k", "event_id"], 16)
+    fits = (F.col("partitions_nonempty") <= F.least("distinct_keys", F.lit(16))) & (F.col("max_rows") >= F.col("hottest_rows"))
+    return both.select("key", "distinct_keys", "hottest_key", "hottest_rows", "median_rows", "skew_ratio", fits.alias("fits"))
 
 
 @query("salt_column", "SELECT 0 AS least, 15 AS most, 16::BIGINT AS salts, count(*) AS n, true AS even FROM events")
 def salt_column(spark, data):
     """Every salt is used, and the largest holds under twice an even share."""
-    salted = skew.with_salt(inputs.skewed_events(spark, data), ["event_id", "user_id"], "value", 16)
+    salted = skew.with_salt(inputs.skewed_events(spark, data), ["event_id", "user_id"], 16)
     per_salt = salted.groupBy(F.col("_salt").alias("salt")).agg(F.count("*").alias("n"))
     return per_salt.agg(
         F.min("salt").alias("least"), F.max("salt").alias("most"), F.count("*").alias("salts"), F.sum("n").alias("total"), (16 * F.max("n") < 2 * F.sum("n")).alias("even")

@@ -9,7 +9,8 @@ from millrace.operators.ranking import numbered, top_k
 from millrace.operators.text import word_count
 from millrace.plans import inputs
 from millrace.plans.registry import query, table
-from millrace.sources.layout import spread
+from millrace.session import shared_path
+from millrace.sources.layout import spread, write_files
 
 TOKENS_SQL = """
 SELECT w AS word, count(*) AS n
@@ -82,6 +83,41 @@ def dedup_keys(spark, data):
     return inputs.with_ship_date(facts.dedup(table(spark, data, "lineitem"), ["l_orderkey", "l_linenumber"]))
 
 
+_ENDED_SQL = """
+SELECT l_orderkey, l_linenumber, outcome, l_suppkey, l_quantity FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY outcome, l_suppkey, l_quantity) AS rn
+  FROM (SELECT l_orderkey, l_linenumber, nullif(l_returnflag, 'N') AS outcome, l_suppkey, l_quantity FROM lineitem) WHERE outcome IS NOT NULL)
+WHERE rn = 1
+"""
+
+
+def _ended(spark, data):
+    """Line items with an outcome stand in for the last pitches of plate appearances."""
+    li = table(spark, data, "lineitem").withColumn("outcome", F.nullif("l_returnflag", F.lit("N")))
+    wanted = ["l_orderkey", "l_linenumber", "outcome", "l_shipmode", "l_suppkey", "l_quantity"]
+    return li, facts.terminal_rows(li, "outcome", ["l_orderkey", "l_linenumber"], wanted, ["l_suppkey"])
+
+
+@query("fact_terminal", _ENDED_SQL)
+def fact_terminal(spark, data):
+    return _ended(spark, data)[1]
+
+
+@query(
+    "fact_terminal_ratio",
+    f"""
+SELECT a.n AS n_a, b.n AS n_b, round(a.n / b.n, 1) AS ratio, a.n / b.n < 3 AS low
+FROM (SELECT count(*) AS n FROM lineitem) a, (SELECT count(*) AS n FROM ({_ENDED_SQL})) b
+""",
+)
+def fact_terminal_ratio(spark, data):
+    """The derived fact written as files, then compared in size with the one it comes from."""
+    li, ended = _ended(spark, data)
+    path = shared_path(spark, "fact_terminal")
+    write_files(ended, path, 8)
+    return agg.table_ratio(li, spark.read.parquet(path))
+
+
 @query("distinct_values", "SELECT DISTINCT p_brand FROM part WHERE p_brand IS NOT NULL")
 def distinct_values(spark, data):
     return facts.distinct_values(table(spark, data, "part"), "p_brand")

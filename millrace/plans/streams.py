@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from millrace.operators import log
 from millrace.plans import inputs
-from millrace.plans.logs import ALERT_SQL
 from millrace.plans.registry import query, table
 from millrace.session import shared_path
 from millrace.streaming import streams
@@ -80,29 +79,76 @@ def stream_type_counts(spark, data):
     return streams.latest_totals(spark, f"{root}/out")
 
 
+ARRIVALS = 2
+# Every seventh event arrives with the half month after its own; what the watermark (2 hours) has passed by then is late.
+ARRIVED_SQL = """
+WITH e AS (SELECT *, date_trunc('hour', ts) AS hour, ((day(ts) - 1) // 15 + CASE WHEN event_id % 7 = 0 THEN 1 ELSE 0 END)::INT AS arrival FROM events),
+     m AS (SELECT arrival, max(ts) AS newest FROM e GROUP BY arrival),
+     r AS (SELECT e.*, hour + INTERVAL 1 HOUR <= (SELECT max(newest) FROM m WHERE m.arrival < e.arrival) - INTERVAL 2 HOUR AS late FROM e)
+"""
+
+
+def _late_runs(spark, data):
+    """Hourly counts of the events as they arrive, late ones among them; folder of the hours, and what each run read and dropped."""
+    root = shared_path(spark, "stream_hourly_sink")
+    e = table(spark, data, "events")
+    arrival = F.floor((F.dayofmonth("ts") - 1) / 15) + F.when(F.col("event_id") % 7 == 0, 1).otherwise(0)
+    runs = []
+    for n in range(ARRIVALS + 2):  # the 31st of a month as well
+        e.where(arrival == n).write.mode("append").parquet(f"{root}/in")
+        hours = streams.hourly(streams.stream_files(spark, f"{root}/in", e.schema), "ts", "event_type", "2 hours")
+        run = streams.append_to(hours, f"{root}/out", f"{root}/checkpoint")
+        run.awaitTermination()
+        runs.append((n, *streams.late_groups(run)))
+    return f"{root}/out", runs
+
+
 @query(
     "stream_hourly_sink",
-    """
-SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start, event_type, count(*) AS n FROM events
-GROUP BY date_trunc('hour', ts), event_type
-HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR
+    ARRIVED_SQL
+    + """
+SELECT strftime(hour, '%Y-%m-%d %H:%M:%S') AS window_start, event_type, count(*) AS n FROM r WHERE late IS NOT true
+GROUP BY hour, event_type HAVING hour + INTERVAL 1 HOUR <= (SELECT max(newest) FROM m) - INTERVAL 2 HOUR
 """,
 )
 def stream_hourly_sink(spark, data):
-    root = shared_path(spark, "stream_hourly_sink")
-    hours = streams.hourly(_events(spark, data), "ts", "event_type", "2 hours")
-    streams.consume(hours, f"{root}/out", f"{root}/checkpoint")
-    return spark.read.parquet(f"{root}/out").withColumn(
-        "window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss")
-    )
+    out, _ = _late_runs(spark, data)
+    return spark.read.parquet(out).withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"))
+
 
+@query(
+    "stream_late_rows",
+    ARRIVED_SQL
+    + """
+SELECT arrival, count(*) AS n_rows, count(DISTINCT CASE WHEN late THEN {'h': hour, 't': event_type} END) AS late_groups FROM r GROUP BY arrival
+""",
+)
+def stream_late_rows(spark, data):
+    """What each run of the hourly sink has read, and how many groups of an hour and type it dropped as late."""
+    _, runs = _late_runs(spark, data)
+    return spark.createDataFrame(runs, "arrival INT, n_rows LONG, late_groups LONG").where("n_rows > 0")
 
-@query("stream_alert", ALERT_SQL)
+
+@query(
+    "stream_alert",
+    """
+SELECT event_id, user_id, prev_max, value FROM (
+  SELECT *, list_max(list_transform(list_filter(before, lambda r: r.ts >= ts - INTERVAL 2 DAY), lambda r: r.value)) AS prev_max FROM (
+    SELECT *, list({'ts': ts, 'value': value}) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 9 PRECEDING AND 1 PRECEDING) AS before
+    FROM events))
+WHERE prev_max - value >= 3
+""",
+)
 def stream_alert(spark, data):
+    """Three arrivals in time order, a run after each: drops against the last rows of two days, whichever batch they came in."""
     root = shared_path(spark, "stream_alert")
-    alarms = streams.stream_drops(_events(spark, data, bytes_per_batch=512 << 20), "user_id", "ts", "event_id", "value")
-    streams.consume(alarms, f"{root}/out", f"{root}/checkpoint")
-    return spark.read.parquet(f"{root}/out")
+    e = table(spark, data, "events")
+    for early, late in (("2000-01-01", "2024-01-11"), ("2024-01-11", "2024-01-21"), ("2024-01-21", "2100-01-01")):
+        first, after = (F.lit(day).cast("timestamp_ntz") for day in (early, late))
+        e.where((F.col("ts") >= first) & (F.col("ts") < after)).write.mode("append").parquet(f"{root}/in")
+        stream = streams.stream_files(spark, f"{root}/in", e.schema)
+        streams.stream_drops(stream, f"{root}/out", f"{root}/checkpoint", "user_id", "ts", "event_id", "value", within="2 days").awaitTermination()
+    return streams.stream_alerts(spark, f"{root}/out")
 
 
 @query("stream_paced", "SELECT event_id FROM events")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.sources.guards import require_columns, require_rows
+from millrace.sources.guards import MissingColumns, WrongHeader, require_rows
 
 REPLAY_SCHEMA = "entity STRING, type STRING, value STRING"
 
@@ -104,14 +104,31 @@ def ingest_seasons(
 ) -> DataFrame:
     """Several CSV files with one header as one table, with a check of each header and a row floor.
 
-    A file whose header differs from ``schema`` fails the read; its columns are never taken by place.
+    One job reads the headers of all files; those that lack a ``required`` column or differ from ``schema`` are named in the
+    error. Columns are never taken by place.
     """
-    for path in paths:
-        require_columns(scan_csv(spark, path), required)
+    names = T.StructType.fromDDL(schema).fieldNames() if isinstance(schema, str) else schema.fieldNames()
+    odd = headers(spark, paths).where(~F.col("columns").eqNullSafe(F.array(*map(F.lit, names))))
+    wrong = odd.orderBy("path").limit(20).collect()  # enough for a message
+    for r in wrong:
+        if lacking := set(required) - set(r["columns"]):
+            raise MissingColumns(list(lacking), r["path"])
+    if lacking := set(required) - set(names):
+        raise MissingColumns(list(lacking))
+    if wrong:
+        raise WrongHeader([r["path"] for r in wrong])
     table = spark.read.option("header", True).option("enforceSchema", False).schema(schema).csv(list(paths))
     return require_rows(table, min_rows)
 
 
+def headers(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """path and columns of every CSV file: its first line, found in one job over the files' first blocks."""
+    block = [F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("start")]
+    lines = spark.read.text(list(paths)).select("value", *block).where("start = 0").withColumn("at", F.monotonically_increasing_id())
+    first = lines.groupBy("file_path").agg(F.min_by("value", "at").alias("line"))
+    return first.select(F.col("file_path").alias("path"), F.transform(F.split("line", ","), lambda c: F.btrim(c, F.lit('" \r'))).alias("columns"))
+
+
 def count_uris(spark: SparkSession, uris: Mapping[str, str]) -> DataFrame:
     """Row count of each CSV location; only the address differs between them."""
     counts = [

@@ -2,21 +2,32 @@
 
 from __future__ import annotations
 
+import uuid
 import warnings
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.sources import storage
+
 
 class MissingInput(Exception):
     """A table that an earlier job should have written is not there."""
 
 
 class MissingColumns(ValueError):
-    def __init__(self, columns: Sequence[str]):
-        self.columns = sorted(columns)
-        super().__init__(f"missing columns: {self.columns}")
+    def __init__(self, columns: Sequence[str], path: str | None = None):
+        self.columns, self.path = sorted(columns), path
+        super().__init__(f"missing columns: {self.columns}" + (f" in {path}" if path else ""))
+
+
+class WrongHeader(ValueError):
+    """Files whose header is not the declared one."""
+
+    def __init__(self, paths: Sequence[str]):
+        self.paths = list(paths)
+        super().__init__(f"header differs from the schema in {', '.join(self.paths)}")
 
 
 class TooFewRows(ValueError):
@@ -51,10 +62,18 @@ def read_required(spark: SparkSession, path: str) -> DataFrame:
 
 
 def materialise(spark: SparkSession, build: Callable[[], DataFrame], path: str) -> DataFrame:
-    """Read the table at ``path``; build and write it first where it is absent."""
-    try:
-        return read_required(spark, path)
-    except MissingInput:
-        # "ignore" keeps the other writer's table should two jobs get here at once
-        build().write.mode("ignore").parquet(path)
-        return spark.read.parquet(path)
+    """The table published at ``path``; built and published first where there is none.
+
+    A build writes to a folder of its own below ``path``; publishing is the last step, one small file that names
+    the folder. What a died build has left is never read. Of two builders at once one is published;
+    each reads what is, and the other's folder goes.
+    """
+    marker = f"{path}/_published"
+    if not storage.read_marker(spark, marker):
+        own = f"data-{uuid.uuid4().hex}"
+        build().write.parquet(f"{path}/{own}")
+        if not storage.read_marker(spark, marker):
+            storage.write_marker(spark, marker, own)
+        if storage.read_marker(spark, marker) != own:
+            storage.remove(spark, f"{path}/{own}")
+    return read_required(spark, f"{path}/{storage.read_marker(spark, marker)}")

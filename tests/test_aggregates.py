@@ -51,9 +51,47 @@ def test_one_value_five_numbers(spark):
 
 
 def test_two_stage_equals_plain(skewed):
-    plain = {(r.k, r.n, r.avg_value and round(r.avg_value, 6)) for r in agg.workload(skewed, "k", "v").collect()}
-    two = agg.two_stage(skewed, "k", "v", ["id"], 8)
-    assert {(r.k, r.n, r.avg_value and round(r.avg_value, 6)) for r in two.collect()} == plain
+    rows = skewed.withColumn("who", F.when(F.col("id") % 6 != 0, F.col("id") % 700))
+    groups = {}
+    for r in rows.collect():
+        groups.setdefault(r.k, []).append(r)
+    got = {r.k: r for r in agg.two_stage(rows, "k", "v", "who", "v").collect()}
+    assert set(got) == set(groups)
+    for k, members in groups.items():
+        values = [r.v for r in members if r.v is not None]
+        assert got[k].n == len(members) and got[k].distinct_values == len({r.who for r in members} - {None})
+        if values:
+            assert math.isclose(got[k].avg_value, statistics.fmean(values)) and math.isclose(got[k].median_value, statistics.median(values))
+        else:
+            assert got[k].avg_value is None and got[k].median_value is None
+
+
+def test_no_task_holds_a_hot_keys_values(spark, conf):
+    """The first shuffle spreads the NULL key by the counted value; the second one gets a row for each task and key."""
+    conf(adaptive__enabled="false", shuffle__partitions="8")
+    rows = spark.range(20_000).select(F.when(F.col("id") % 50 == 0, 1).alias("k"), (F.col("id") % 5000).alias("who"), F.col("id").cast("double").alias("v"))
+    report = agg.two_stage(rows, "k", "v", "who", "v").select("k", "n", "avg_value", "distinct_values")
+    assert {(r.k, r.distinct_values) for r in report.collect()} == {(None, 4900), (1, 100)}
+    shares = rows.groupBy("k", "who").agg(F.count("*").alias("n")).where("k IS NULL").groupBy(F.spark_partition_id()).count().collect()
+    assert len(shares) == 8 and max(r["count"] for r in shares) < 4900 / 4
+    assert "hashpartitioning(k" in planned(report) and re.search(r"hashpartitioning\(k#\d+, who#\d+", planned(report))
+
+
+def test_day_sketches_unite(spark, tmp_path):
+    rows = spark.range(60_000).select((F.col("id") % 30).alias("day"), F.pmod(F.xxhash64("id"), F.lit(20_000)).alias("who"), F.lit("x").alias("kind"))
+    agg.day_sketches(rows, "day", ["who", "kind"]).write.parquet(str(tmp_path / "s"))
+    sketches = spark.read.parquet(str(tmp_path / "s"))
+    exact = rows.select("who").distinct().count()
+    month = agg.united_counts(sketches, ["who", "kind"]).first()
+    assert month.n_rows == 60_000 and month.distinct_kind == 1
+    assert abs(month.distinct_who - exact) <= 3 * 1.04 / 2**6 * exact  # lg 12: 4096 registers
+    halves = agg.united_counts(sketches, ["who"], [(F.col("day") < 15).alias("early")]).collect()
+    for r in halves:
+        want = rows.where((F.col("day") < 15) == r.early).select("who").distinct().count()
+        assert abs(r.distinct_who - want) <= 3 * 1.04 / 2**6 * want
+    assert "count(distinct" not in planned(agg.united_counts(sketches, ["who"])).lower()
+    few = agg.united_counts(agg.day_sketches(rows.where("who < 150"), "day", ["who"]), ["who"]).first()
+    assert few.distinct_who == rows.where("who < 150").select("who").distinct().count()
 
 
 def test_four_ways_share_a_plan(spark, data):

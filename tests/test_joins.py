@@ -1,10 +1,14 @@
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import joins, skew
 from millrace.operators.joins import by_flag
+from millrace.plans import QUERIES
+from millrace.session import stored
 from millrace.sources.layout import write_files
-from tests.plan_text import count, executed, planned
+from tests.plan_text import count, executed, planned, shuffle_records
 
 FACT = [(i, None if i % 4 else f"k{i % 3}", i / 2) for i in range(200)] + [(900, "lost", 1.0), (901, None, None)]
 
@@ -32,7 +36,7 @@ def test_all_left_joins_agree(spark, fact, dim):
         joins.join_outcome_apart(fact, dim, "k", "code"),
         joins.join_outcome(fact, joins.checked_broadcast(dim), "k", "code"),
         skew.skew_join(fact, dim, "k", "code"),
-        *[skew.salted_join(fact, dim, "k", "code", ["id"], "v", n) for n in (None, 1, 4, 16, 64)],
+        *[skew.salted_join(fact, dim, "k", "code", ["id"], n) for n in (None, 1, 4, 16, 64)],
     ]
     assert plain.count() == len(FACT)
     for other in others:
@@ -110,8 +114,8 @@ def test_profile_keys_marks_the_widest(fact):
 
 
 def test_salt_is_stable_and_spreads_nulls(fact):
-    salted = skew.with_salt(fact, ["id"], "v", 16)
-    again = skew.with_salt(fact.repartition(5), ["id"], "v", 16)
+    salted = skew.with_salt(fact, ["id"], 16)
+    again = skew.with_salt(fact.repartition(5), ["id"], 16)
     assert joins.difference(salted, again).count() == 0
     assert salted.where("k IS NULL").select("_salt").distinct().count() > 8
     assert salted.where("_salt < 0 OR _salt > 15 OR _salt IS NULL").count() == 0
@@ -142,11 +146,68 @@ def test_sweep_counts_the_partitions_it_used(spark):
 def test_salting_copies_hot_dimension_rows_only(spark):
     fact = spark.range(1000).select(F.col("id"), F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id") % 97).cast("int").alias("k"), F.lit(1.0).alias("v"))
     dim = spark.range(200).select(F.col("id").cast("int").alias("code"), F.lit(True).alias("is_out"))
-    joined = skew.salted_join(fact, dim, "k", "code", ["id"], "v", n=8, share=0.2)
+    joined = skew.salted_join(fact, dim, "k", "code", ["id"], n=8)
     plain = joins.join_outcome(fact, dim, "k", "code")
     assert joins.difference(joined.select("id", "is_out"), plain.select("id", "is_out")).count() == 0
-    joined.collect()
-    sides = [line for line in planned(joined).splitlines() if "Generate" in line]
-    assert sides
-    hot = skew.hot_keys(fact.where("k IS NOT NULL"), "k", 0.2).collect()
-    assert [r._hot_key for r in hot] == [7]
+    assert {(r._hot_key, r._salts) for r in skew.heavy_keys(fact, "k", 8).collect()} == {(7, 8)}
+
+
+def test_salts_follow_the_share_and_are_bounded(spark, tmp_path):
+    """100 heavy keys of falling size among many small ones: all salts together stay under twice the slots."""
+    rows = spark.range(40_000).select(F.col("id"), F.when(F.col("id") % 4 == 0, F.col("id") + 10**6).otherwise(F.floor(F.sqrt(F.col("id") % 10_000))).alias("k"))
+    for slots in (64, 400, 1000):
+        heavy = {r._hot_key: r._salts for r in skew.heavy_keys(rows, "k", slots).collect()}
+        counts = {r.k: r["count"] for r in rows.groupBy("k").count().collect()}
+        assert sum(heavy.values()) <= 2 * slots
+        assert all(counts[k] * slots > 0.9 * 40_000 for k in heavy)
+        assert {k for k, n in counts.items() if n * slots > 1.2 * 40_000} <= set(heavy)
+        assert all(abs(n - 2 * slots * counts[k] / 40_000) <= 2 for k, n in heavy.items())
+    rows.write.parquet(str(tmp_path / "f"))
+    fact, dim = spark.read.parquet(str(tmp_path / "f")), spark.range(100).select(F.col("id").alias("code"), (F.col("id") % 2 == 0).alias("is_out"))
+    joined = skew.salted_join(fact, dim, "k", "code", ["id"], 400)
+    assert joined.where("is_out IS NOT NULL").count() == 30_000
+    assert planned(joined).count("FileScan parquet [id") == 1  # the sketch is a pass of its own
+
+
+def test_rows_without_a_key_are_dealt_over_all_slots(spark, conf):
+    conf(shuffle__partitions="8", adaptive__enabled="false")
+    fact = spark.range(4000).select("id", F.lit(None).cast("int").alias("k"))
+    dim = spark.createDataFrame([(1, True)], "code INT, is_out BOOLEAN")
+    joined = skew.salted_join(fact, dim, "k", "code", ["id"], 64)
+    tasks = joined.groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) == 8 and max(r["count"] for r in tasks) < 1000
+
+
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_registered_skew_join_is_split(spark, data, sf):
+    report = QUERIES["join_skew_adaptive"](spark, str(Path(data).parent / sf))
+    assert "skew=true" in executed(report)
+
+
+def test_bloom_filter_reaches_the_scan(spark, data):
+    bloomed = QUERIES["join_filtered_bloom"](spark, data)
+    plan = executed(bloomed)
+    assert "might_contain" in plan and "BroadcastHashJoin" not in plan and count(plan, "SortMergeJoin") == 1
+    li = spark.read.parquet(f"{data}/lineitem.parquet")
+    bare = joins.filter_session(spark, scan_bytes=1)
+    bare.conf.set("spark.sql.optimizer.runtime.bloomFilter.enabled", "false")
+    o = bare.read.parquet(f"{data}/orders.parquet")
+    rare = (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_custkey") % 50 == 0)
+    unfiltered = joins.join_rare(bare.read.parquet(f"{data}/lineitem.parquet").select("l_orderkey"), o, F.col("l_orderkey") == F.col("o_orderkey"), rare)
+    assert shuffled_rows(unfiltered)[0] == li.count()
+    assert shuffled_rows(bloomed)[0] < 0.1 * li.count()
+
+
+def shuffled_rows(df):
+    """Records that each shuffle wrote, the most first."""
+    df.rdd.count()
+    return sorted(shuffle_records(df), reverse=True)
+
+
+def test_each_cut_of_the_sweep_runs_once(spark, monkeypatch):
+    kept = []
+    monkeypatch.setattr(skew, "stored", lambda df, label="": kept.append((label, planned(df))) or stored(df, label))
+    skew.partition_sweep(spark.range(50).select((F.col("id") % 2).alias("k"), F.col("id").cast("double").alias("v")), "k", "v", [2, 5])
+    assert [label for label, _ in kept] == ["sweep-input", "sweep", "sweep"]
+    for _, plan in kept[1:]:
+        assert plan.split("== Initial Plan ==")[0].count("REPARTITION_BY_NUM") == 1 and plan.count("CollectMetrics") >= 1

@@ -1,9 +1,10 @@
 from pyspark.sql import functions as F
 
-from millrace.operators.aggregates import month_count
+from millrace.operators.aggregates import entity_avg, month_count
 from millrace.operators.facts import with_dates
 from millrace.sources import layout
-from tests.plan_text import planned
+from millrace.sources.footers import parquet_footers
+from tests.plan_text import files_read, planned
 
 
 def files_in(path, pattern="part-*"):
@@ -47,10 +48,27 @@ def test_month_and_date_folders(spark, tmp_path):
     layout.write_partitioned(fact, str(tmp_path / "d"), ["game_date"])
     assert len(files_in(tmp_path / "m", "game_month=*")) == 7
     assert len(files_in(tmp_path / "d", "game_date=*")) == 200 == layout.folder_count(fact, ["game_date"]).first()[0]
-    for name in "md":
-        assert month_count(spark, str(tmp_path / name), 7).first().n == 18
-    monthly = spark.read.parquet(str(tmp_path / "m")).where("game_month = 7")
-    assert "PartitionFilters: [isnotnull(game_month" in planned(monthly)
+    for name, folders, month in (("m", "game_month", "game_month"), ("d", "game_date", "month(game_date")):
+        july = month_count(spark, str(tmp_path / name), 7, folders)
+        assert july.first().n == 18
+        assert f"PartitionFilters: [isnotnull({folders}" in planned(july) and month in planned(july)
+        july.rdd.count()
+        assert files_read(july) == (1 if name == "m" else 18)
+    assert month_count(spark, str(tmp_path / "m"), 7).first().n == 18
+
+
+def test_clustered_files_are_skipped_by_their_statistics(spark, tmp_path):
+    rows = spark.range(20_000).select(F.pmod(F.xxhash64("id"), F.lit(100)).alias("who"), F.col("id").cast("double").alias("v"))
+    layout.write_clustered(rows, str(tmp_path / "by"), ["who"], 10)
+    layout.write_files(rows, str(tmp_path / "flat"), 10)
+    groups = {}
+    for name in ("by", "flat"):
+        footers = parquet_footers(spark, str(tmp_path / name), ["who"])
+        groups[name] = footers.where("CAST(min AS INT) <= 42 AND CAST(max AS INT) >= 42").count()
+        assert "PushedFilters: [IsNotNull(who), EqualTo(who,42)]" in planned(entity_avg(spark, str(tmp_path / name), "who", "v", 42))
+    assert groups == {"by": 1, "flat": 10}
+    want = entity_avg(spark, str(tmp_path / "flat"), "who", "v", 42).first()
+    assert abs(entity_avg(spark, str(tmp_path / "by"), "who", "v", 42).first().avg_value - want.avg_value) < 1e-6
 
 
 def test_hot_folder_is_written_by_several_tasks(spark, tmp_path, conf):

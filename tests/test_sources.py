@@ -97,8 +97,11 @@ def test_seasons(spark, tmp_path):
     paths = [str(tmp_path / n) for n in ("a.csv", "b.csv")]
     args = (spark, paths, "des STRING, game_pk INT")
     (tmp_path / "turned.csv").write_text("game_pk,des\n4,w\n")
-    with pytest.raises(Exception, match="header"):
-        files.ingest_seasons(spark, [*paths, str(tmp_path / "turned.csv")], args[2], ["des"], 1).collect()
+    with pytest.raises(guards.WrongHeader, match="turned.csv"):
+        files.ingest_seasons(spark, [*paths, str(tmp_path / "turned.csv")], args[2], ["des"], 1)
+    (tmp_path / "short.csv").write_text("des\nq\n")
+    with pytest.raises(guards.MissingColumns, match="game_pk.*short.csv"):
+        files.ingest_seasons(spark, [*paths, str(tmp_path / "short.csv")], args[2], ["des", "game_pk"], 1)
     assert files.ingest_seasons(*args, ["des"], 3).count() == 3
     with pytest.raises(guards.MissingColumns) as e:
         files.ingest_seasons(*args, ["pitch_type", "des", "at_bat"], 1)
@@ -126,6 +129,51 @@ def test_materialise_builds_once(spark, tmp_path):
     assert built == [1]
 
 
+def test_headers_of_many_files_in_one_job(spark, tmp_path):
+    for i in range(1000):
+        (tmp_path / f"s{i:04}.csv").write_text(("game_pk,des\n" if i == 777 else '"des",game_pk\r\n') + f"x{i},{i}\n")
+    context = spark.sparkContext
+    context.setJobGroup("headers", "headers")
+    with pytest.raises(guards.WrongHeader) as e:
+        files.ingest_seasons(spark, [str(tmp_path)], "des STRING, game_pk INT", ["des"], 1)
+    jobs = context.statusTracker().getJobIdsForGroup("headers")
+    context.setLocalProperty("spark.jobGroup.id", None)
+    assert [p.rsplit("/", 1)[-1] for p in e.value.paths] == ["s0777.csv"]
+    assert len(jobs) <= 3  # stages of one query; the listing of many files is a job of its own
+
+
+def test_a_died_build_is_built_again(spark, tmp_path):
+    path = tmp_path / "t"
+    (path / "data-0" / "_temporary" / "0").mkdir(parents=True)  # left by a build that never ended
+    (path / "_temporary").mkdir()
+    assert guards.materialise(spark, lambda: spark.range(3), str(path)).count() == 3
+    assert guards.materialise(spark, lambda: spark.range(9), str(path)).count() == 3
+
+    def dies():
+        raise RuntimeError("lost")
+
+    with pytest.raises(RuntimeError):
+        guards.materialise(spark, dies, str(tmp_path / "u"))
+    assert guards.materialise(spark, lambda: spark.range(2), str(tmp_path / "u")).count() == 2
+
+
+def test_two_builders_at_once_publish_one_table(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+    from threading import Barrier
+
+    start = Barrier(2)
+
+    def build(n):
+        start.wait(30)
+        return spark.range(100).withColumn("by", F.lit(n))
+
+    with ThreadPoolExecutor(2) as pool:
+        tables = list(pool.map(lambda n: guards.materialise(spark, lambda: build(n), str(tmp_path / "t")), range(2)))
+    assert all(t.count() == 100 and t.select("by").distinct().count() == 1 for t in tables)
+    later = guards.materialise(spark, lambda: spark.range(1), str(tmp_path / "t"))
+    assert later.count() == 100
+
+
 def test_schema_and_size(spark, tmp_path):
     df = spark.createDataFrame([(1, None), (2, "x")], "n INT, s STRING")
     assert [tuple(r) for r in files.schema_of(df).orderBy("position").collect()] == [(0, "n", "int", 2), (1, "s", "string", 1)]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import alerts
 from millrace.streaming import streams
+from tests.plan_text import planned
 
 SCHEMA = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, value DOUBLE"
 
@@ -84,12 +85,64 @@ def test_stream_drops_over_several_batches(spark, tmp_path):
     ordered = sorted(rows, key=lambda r: (r[1], r[0]))
     src = parts(spark, str(tmp_path / "in"), [ordered[:60], ordered[60:70], ordered[70:]])
     stream = streams.stream_files(spark, src, spark.createDataFrame([], SCHEMA).schema, files_per_batch=1)
-    alarms = streams.stream_drops(stream, "user_id", "ts", "event_id", "value")
-    query = streams.append_to(alarms, str(tmp_path / "out"), str(tmp_path / "cp"))
+    query = streams.stream_drops(stream, str(tmp_path / "out"), str(tmp_path / "cp"), "user_id", "ts", "event_id", "value")
     query.awaitTermination()
     assert len([p for p in query.recentProgress if p["numInputRows"]]) == 3
-    got = {tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    got = {tuple(r) for r in streams.stream_alerts(spark, str(tmp_path / "out")).collect()}
     assert got == brute(rows)
+    carried = sorted(p.name for p in (tmp_path / "out" / "carry").iterdir())
+    assert carried == ["batch_id=1", "batch_id=2"]  # what a batch that runs again needs, and no more
+
+
+NAMES = ("user_id", "ts", "event_id", "value")
+
+
+def test_a_batch_that_runs_again_changes_nothing(spark, tmp_path):
+    rows = sorted(made(300), key=lambda r: (r[1], r[0]))
+    out = str(tmp_path / "out")
+    for n, part in ((0, rows[:100]), (1, rows[100:140]), (1, rows[100:140]), (2, rows[140:]), (2, rows[140:])):
+        streams.drop_batch(spark.createDataFrame(part, SCHEMA), n, out, *NAMES)
+        seen = rows[: rows.index(part[-1]) + 1]
+        assert {tuple(r) for r in streams.stream_alerts(spark, out).collect()} == brute(seen)
+
+
+def test_a_hot_entity_over_batches_is_cut_into_slices(spark, tmp_path):
+    rows = [(i, ts, 1, value) for i, ts, _, value in made(400)]
+    rows.sort(key=lambda r: (r[1], r[0]))
+    for n in range(4):
+        part = spark.createDataFrame(rows[100 * n : 100 * n + 100], SCHEMA)
+        streams.drop_batch(part, n, str(tmp_path / "out"), *NAMES, share=0.1, slice_rows=30)
+    assert {tuple(r) for r in streams.stream_alerts(spark, str(tmp_path / "out")).collect()} == brute(rows)
+
+
+def brute_within(rows, seconds, last=10, fall=3.0):
+    history, found = {}, set()
+    for i, ts, user, value in sorted(rows, key=lambda r: (r[1], r[0])):
+        near = [v for t, v in history.get(user, [])[-(last - 1):] if v is not None and (ts - t).total_seconds() <= seconds]
+        if near and value is not None and max(near) - value >= fall:
+            found.add((i, user, max(near), value))
+        history.setdefault(user, []).append((ts, value))
+    return found
+
+
+def test_silent_entities_expire(spark, tmp_path):
+    rows = sorted(made(300), key=lambda r: (r[1], r[0]))
+    want = brute_within(rows, 60)
+    assert want and want != brute(rows)
+    whole = alerts.drops(spark.createDataFrame(rows, SCHEMA), *NAMES, within="60 seconds")
+    assert {tuple(r) for r in whole.collect()} == want
+    quiet = [(1000 + i, rows[0][1], 77, 99.0) for i in range(3)]  # an entity seen in the first batch only
+    out = str(tmp_path / "out")
+    for n, part in enumerate((quiet + rows[:150], rows[150:160], rows[160:])):
+        streams.drop_batch(spark.createDataFrame(part, SCHEMA), n, out, *NAMES, within="60 seconds")
+        carried = {r.user_id for r in spark.read.parquet(f"{out}/carry/batch_id={n}").collect()}
+        assert 77 not in carried and carried
+    assert {tuple(r) for r in streams.stream_alerts(spark, out).collect()} == want
+
+
+def test_batches_of_alerts_use_no_python_groups(spark):
+    found = alerts.drops(spark.createDataFrame(made(50), SCHEMA), *NAMES, within="1 day")
+    assert "InPandas" not in planned(found) and "ArrowEval" not in planned(found)
 
 
 def test_pacing(spark, tmp_path):
@@ -108,17 +161,23 @@ def test_late_rows_are_dropped(spark, tmp_path):
     src = parts(spark, str(tmp_path / "in"), batches)
     stream = streams.stream_files(spark, src, spark.createDataFrame([], SCHEMA).schema, files_per_batch=1)
     hours = streams.hourly(stream, "ts", "user_id", "1 hour")
-    streams.consume(hours, str(tmp_path / "out"), str(tmp_path / "cp"))
+    run = streams.append_to(hours, str(tmp_path / "out"), str(tmp_path / "cp"))
+    run.awaitTermination()
+    assert streams.late_groups(run) == (7, 1)
     got = {(r.window_start.hour, r.n) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert got == {(1, 2), (9, 3)}  # the row of 1:45 came after the watermark, the hour of 20:00 is still open
 
 
 def test_running_totals_survive_a_restart(spark, tmp_path):
     schema = spark.createDataFrame([], SCHEMA).schema
-    for n, rows in enumerate([made(10), made(25)[10:]]):
+    cuts = [0, 10, 12, 15, 20, 25]
+    for a, b in zip(cuts, cuts[1:]):
+        rows = made(25)[a:b]
         spark.createDataFrame(rows, SCHEMA).write.mode("append").parquet(str(tmp_path / "in"))
         totals = streams.type_counts(streams.stream_files(spark, str(tmp_path / "in"), schema), "user_id")
         streams.publish_totals(totals, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
     want = pd.Series([r[2] for r in made(25)]).value_counts(dropna=False)
+    kept = sorted(int(p.name.partition("=")[2]) for p in (tmp_path / "out" / "totals").iterdir())
+    assert kept == list(range(kept[-1] - 2, kept[-1] + 1))  # older totals are gone
     got = {r.user_id: r.n for r in streams.latest_totals(spark, str(tmp_path / "out")).collect()}
     assert sum(got.values()) == 25 and got[1] == want[1.0]
