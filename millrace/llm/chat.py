@@ -11,6 +11,7 @@ of any length spreads over many tasks: first each chunk's table, then a pass ove
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,6 +28,9 @@ START, SYSTEM, USER, ASSISTANT = range(4)
 _STATE_OF = {"system": SYSTEM, "user": USER, "assistant": ASSISTANT}
 _LEGAL = {START: (SYSTEM, USER), SYSTEM: (USER,), USER: (ASSISTANT,), ASSISTANT: (USER,)}
 _NO = 1 << 40
+_MARKER = re.compile(r"<(\\*)\|im_(start|end)\|>")
+_ESCAPED = re.compile(r"<\\(\\*)\|im_(start|end)\|>")
+_TURN = re.compile(r"<\|im_start\|>(%s)\n(.*?)<\|im_end\|>\n" % "|".join(ROLES), re.S)
 
 
 @dataclass(frozen=True)
@@ -90,8 +94,19 @@ def path(roles: list[str | None], start: int, end: int, costs: Costs) -> list[tu
     return out[::-1]
 
 
+def escaped(text: str) -> str:
+    """The text with a backslash in each turn marker it holds, so that it can neither open nor close a turn."""
+    return _MARKER.sub(r"<\\\1|im_\2|>", text)
+
+
+def turns_of(conversation: str) -> list[tuple[str, str]]:
+    """Role and text of each turn of a rendered conversation; the texts as they were before they were escaped, those of merged turns with an empty line between them."""
+    return [(role, _ESCAPED.sub(r"<\1|im_\2|>", text)) for role, text in _TURN.findall(conversation)]
+
+
 def rendered(state: int, empty: tuple[int, ...], merged: bool, first: bool, text: str) -> str:
-    """What a turn adds to the rendered conversation: the end of the turn before, empty turns, and its own text."""
+    """What a turn adds to the rendered conversation: the end of the turn before, empty turns, and its own text, escaped."""
+    text = escaped(text)
     if merged:
         return "\n\n" + text
     turns = "".join(f"<|im_start|>{ROLES[s - 1]}\n<|im_end|>\n" for s in empty)

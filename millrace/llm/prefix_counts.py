@@ -13,6 +13,7 @@ each. ``count_at`` and ``longest_within`` then answer for any cut without encodi
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -51,6 +52,7 @@ class PrefixCounter:
         self.merge = {(plain(a), plain(b)): rank for rank, (a, b) in enumerate(pairs)}
         self.longest = max(map(len, self.vocabulary))
         self.special = [t["content"] for t in spec["added_tokens"]]
+        self.next_special = re.compile("|".join(map(re.escape, sorted(self.special))) or r"(?!)").search
         self.pretokens = regex.compile(public_tokenizers.PATTERN).findall
         self.side_by_side: dict[tuple[int, int], bool] = {}
         self.known = Known(self._learn, 600_000)
@@ -132,11 +134,11 @@ class PrefixCounter:
         """Differences for a text with special strings or runs of white space."""
         counts, start, done = [], 0, 0
         while True:
-            found = min(((text.find(s, start), s) for s in self.special if s in text[start:]), default=(-1, ""))
-            at, string = found
-            if at < 0:
+            found = self.next_special(text, start)
+            if found is None:
                 counts += [done + c for c in self.ordinary(text[start:])]
                 return np.diff(np.array([0, *counts]))
+            at, string = found.start(), found.group()
             inside = self.ordinary(text[start : at + len(string) - 1])
             counts += [done + c for c in inside]
             done += (inside[at - start - 1] if at > start else 0) + 1

@@ -44,8 +44,11 @@ NOISE_WORDS = set(
     "social sponsor sponsored subscribe toolbar topbar widget widgets".split()
 )
 NOISE_ROLES = set("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
+HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 MAIN_WORDS = ("article", "entry-content", "post-content", "article-body", "post-body", "main-content", "content-main", "story-body", "content")
 
+DEEPEST = 200
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(script|style|noscript|template|textarea|title|iframe|svg|math|canvas|object)\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</\1\s*>|\Z)"
@@ -151,14 +154,17 @@ def holds_main(groups: list) -> bool:
 
 
 def pattern(html: str) -> list:
-    """The pattern of one page, with the fingerprints of its texts."""
+    """The pattern of one page, with the fingerprints of its texts.
+
+    What is nested deeper than ``DEEPEST`` elements stands side by side at that depth, so patterns of any page can be walked; no element is left out.
+    """
     root: list = []
     levels = [root]
     for kind, value in events(html):
         if kind == "open":
             inner: list = []
             levels[-1].append([value, False, False, inner])
-            levels.append(inner)
+            levels.append(inner if len(levels) < DEEPEST else levels[-1])
         elif kind == "close":
             if len(levels) > 1:
                 levels.pop()
@@ -192,10 +198,7 @@ def aligned(a: list, b: list) -> list:
     if a == b:
         return a
     n, m = len(a), len(b)
-    common = [[0] * (m + 1) for _ in range(n + 1)]
-    for i in range(n - 1, -1, -1):
-        for j in range(m - 1, -1, -1):
-            common[i][j] = common[i + 1][j + 1] + 1 if a[i][0] == b[j][0] else max(common[i + 1][j], common[i][j + 1])
+    spare = spared([g[0] for g in a], [g[0] for g in b])
     out, i, j = [], 0, 0
     while i < n or j < m:
         if i < n and j < m and a[i][0] == b[j][0]:
@@ -203,7 +206,7 @@ def aligned(a: list, b: list) -> list:
             inner = aligned(a[i][3], b[j][3]) if symbol != "#" else a[i][3] if a[i][3] == b[j][3] else None
             out.append([symbol, a[i][1] or b[j][1], a[i][2] or b[j][2], inner])
             i, j = i + 1, j + 1
-        elif j == m or i < n and common[i + 1][j] >= common[i][j + 1]:
+        elif j == m or i < n and spare[j] >> (n - 1 - i) & 1:
             out.append([a[i][0], True, *a[i][2:]])
             i += 1
         else:
@@ -212,6 +215,21 @@ def aligned(a: list, b: list) -> list:
     return folded(out)
 
 
+def spared(a: list[str], b: list[str]) -> list[int]:
+    """For each place in ``b``, a bit for each place in ``a``, the last one lowest: whether the longest common subsequence of what
+    follows either place stays as long without that symbol of ``a``. Bit-parallel: one bit for a pair of symbols."""
+    full = (1 << len(a)) - 1
+    where: dict[str, int] = {}
+    for i, symbol in enumerate(reversed(a)):
+        where[symbol] = where.get(symbol, 0) | 1 << i
+    row, rows = full, [full]
+    for symbol in reversed(b):
+        met = row & where.get(symbol, 0)
+        row = ((row + met) | (row - met)) & full
+        rows.append(row)
+    return rows[::-1]
+
+
 def expression(groups: list) -> str:
     """The wrapper written as a regular expression over tags and text slots."""
     out = []
@@ -243,7 +261,8 @@ def reading(wrapper: str, pages: int) -> tuple[bool, frozenset[tuple[str, str]]]
 
 
 def main_text(html: str, marked: bool, fixed: frozenset[tuple[str, str]], within: bool = False) -> str:
-    """Blocks of the main regions, each on one line, with an empty line between them; the host's fixed texts are left out.
+    """Blocks of the main regions, each on one line, with an empty line between them; blocks of nothing but the host's fixed texts
+    are left out. A block that holds any other text stays whole, and a heading of a main region stays as it is.
 
     On a host without marked regions, or on a page that lacks them, all blocks count but noise. A main element, or on a page without other
     main regions (``within``) any of them, counts in a container that only its class, id or role makes noise.
@@ -252,22 +271,29 @@ def main_text(html: str, marked: bool, fixed: frozenset[tuple[str, str]], within
     in_main: list[bool] = []
     text: list[str] = []
     path: list[str] = []
+    varies = False
     noise = main = 0
     outside: list[tuple[int, int]] = []  # depth of a main region within a named container, and the noise around it
 
     def flush() -> None:
+        nonlocal varies
         block = " ".join(entities.unescape("".join(text)).split())
-        if block:
+        if block and varies:
             blocks.append(block)
             in_main.append(main > 0)
         text.clear()
+        varies = False
+
+    def is_fixed(value: str) -> bool:
+        if ("".join(f"/{p}" for p in path), fingerprint(value)) not in fixed:
+            return False
+        return not (main and any(re.split(r"[.@!]", p, maxsplit=1)[0] in HEADINGS for p in path))
 
     for kind, value in events(html):
         if kind == "text":
             if not noise:
-                if fixed and value.strip() and ("".join(f"/{p}" for p in path), fingerprint(value)) in fixed:
-                    continue
                 text.append(value)
+                varies = varies or bool(value.strip()) and not (fixed and is_fixed(value))
         elif kind == "void":
             if value in BLOCK:
                 flush()
