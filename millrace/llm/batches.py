@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,6 +12,14 @@ import pyarrow.compute as pc
 SLICE_BYTES = 4 << 20
 
 
+def release() -> None:
+    """Give memory that is free but still held by this worker back to the machine, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches so that a slice holds about ``limit`` bytes of text; a longer text stands alone."""
     for batch in batches:

@@ -12,7 +12,10 @@ from __future__ import annotations
 import os
 import re
 from array import array
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+
+from millrace.llm.batches import release
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -50,6 +53,10 @@ class Known(dict):
             return self
         return values | {p: self[p] for p in pieces if p in self}
 
+    def forget(self) -> None:
+        self.clear()
+        self.old = {}
+
 
 def spaced_pieces(text: str) -> list[str]:
     """Words with the space before them, and line breaks; of a byte-level tokenizer that keeps spaces."""
@@ -122,6 +129,7 @@ def held(kind: type, path: str):
     """The worker's one model: asked for another, it drops the one before with all it knows, so stages that follow each other do not add up."""
     if not _held or _held[0][:2] != (kind, path):
         _held.clear()
+        release()
         _held.append((kind, path, kind(path)))
     return _held[0][2]
 
@@ -130,6 +138,17 @@ def encoder(path: str) -> Encoder:
     return held(Encoder, path)
 
 
+@contextmanager
+def for_task(kind: type, path: str) -> Iterator:
+    """The worker's model for one task: what it learned goes when the task ends, also in failure, so a reused worker does not carry it into later stages."""
+    model = held(kind, path)
+    try:
+        yield model
+    finally:
+        model.known.forget()
+        release()
+
+
 def tokenizer_path(name: str) -> str:
     import public_tokenizers
 

@@ -19,13 +19,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from millrace.llm.batches import slices, texts
-from millrace.llm.encode import Known, held
+from millrace.llm.encode import Known, for_task
 from millrace.operators.joins import checked_broadcast
 from millrace.session import stored
 
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\r\x0b\x0c"
 WINDOW = 8
+SLICE = 512 << 10
 
 FEATURES = {
     "n_words": pa.int64(),
@@ -73,10 +74,6 @@ class Pieces:
         return [array("H", ids).tobytes() for ids in found]
 
 
-def pieces(path: str) -> Pieces:
-    return held(Pieces, path)
-
-
 def duplicate_lines(text: str) -> int:
     lines = [x for x in text.split("\n") if x.strip(BLANKS)]
     return len(lines) - len(set(lines))
@@ -144,11 +141,11 @@ def with_features(docs: DataFrame, model_path: str, prefix: str = "", drop: tupl
     keep = [i for i, name in enumerate(docs.columns) if name not in drop]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = pieces(model_path)
-        for rows in slices(batches):
-            found = measure(texts(rows), model)
-            arrays = [*(rows.column(i) for i in keep), *(pa.array(found[name], kind) for name, kind in FEATURES.items())]
-            yield pa.RecordBatch.from_arrays(arrays, names=[*(rows.schema.names[i] for i in keep), *(prefix + name for name in FEATURES)])
+        with for_task(Pieces, model_path) as model:
+            for rows in slices(batches, limit=SLICE):
+                found = measure(texts(rows), model)
+                arrays = [*(rows.column(i) for i in keep), *(pa.array(found[name], kind) for name, kind in FEATURES.items())]
+                yield pa.RecordBatch.from_arrays(arrays, names=[*(rows.schema.names[i] for i in keep), *(prefix + name for name in FEATURES)])
 
     schema = StructType([docs.schema.fields[i] for i in keep])
     for name, kind in FEATURES.items():

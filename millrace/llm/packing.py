@@ -18,9 +18,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.batches import batch, slices, texts
-from millrace.llm.encode import encoder
+from millrace.llm.encode import Encoder, for_task
 from millrace.session import stored
 
+SLICE = 1 << 20
 _ENCODED = "doc_id long, part int, part_start long, doc_tokens long, ids binary, width int"
 _ENCODED_ARROW = pa.schema(
     [("doc_id", pa.int64()), ("part", pa.int32()), ("part_start", pa.int64()), ("doc_tokens", pa.int64()), ("ids", pa.binary()), ("width", pa.int32())]
@@ -33,25 +34,26 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     """Stored ids of every text and their place within the partition that encoded them."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, at, enc = TaskContext.get().partitionId(), 0, encoder(tokenizer)
-        end = end_id.to_bytes(enc.width, "little")
-        for rows in slices(batches):
-            ids = [i + end for i in enc.encode(texts(rows))]
-            sizes = np.array([len(i) // enc.width for i in ids], dtype=np.int64)
-            starts = at + np.cumsum(sizes) - sizes
-            at += int(sizes.sum())
-            n = len(ids)
-            yield batch(
-                {
-                    "doc_id": rows.column("doc_id"),
-                    "part": np.full(n, part, np.int32),
-                    "part_start": starts,
-                    "doc_tokens": sizes,
-                    "ids": ids,
-                    "width": np.full(n, enc.width, np.int32),
-                },
-                _ENCODED_ARROW,
-            )
+        part, at = TaskContext.get().partitionId(), 0
+        with for_task(Encoder, tokenizer) as enc:
+            end = end_id.to_bytes(enc.width, "little")
+            for rows in slices(batches, limit=SLICE):
+                ids = [i + end for i in enc.encode(texts(rows))]
+                sizes = np.array([len(i) // enc.width for i in ids], dtype=np.int64)
+                starts = at + np.cumsum(sizes) - sizes
+                at += int(sizes.sum())
+                n = len(ids)
+                yield batch(
+                    {
+                        "doc_id": rows.column("doc_id"),
+                        "part": np.full(n, part, np.int32),
+                        "part_start": starts,
+                        "doc_tokens": sizes,
+                        "ids": ids,
+                        "width": np.full(n, enc.width, np.int32),
+                    },
+                    _ENCODED_ARROW,
+                )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return stored(rows.mapInArrow(encode, _ENCODED), "ids")

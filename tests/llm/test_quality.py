@@ -4,9 +4,10 @@ import collections
 import math
 import random
 
+import pyarrow as pa
 import sentencepiece
 
-from millrace.llm.encode import tokenizer_path
+from millrace.llm.encode import for_task, tokenizer_path
 from millrace.llm.fertility import Bands, Pieces, duplicate_lines, judged, keep_good, measure, repeated_words, with_features
 from tests.llm.edge_rows import edge_docs, no_docs, prose
 
@@ -71,3 +72,26 @@ def test_edges(spark):
     assert all(r["_x_base_failed"] and not r["_x_kept"] for r in rows if not (r.text or "").strip())
     assert keep_good(no_docs(spark), MODEL).collect() == []
     assert keep_good(docs, MODEL).columns == docs.columns
+
+
+def test_a_task_leaves_nothing_learned_in_its_worker(spark):
+    docs = spark.createDataFrame([(n, prose(n, 60), "en") for n in range(40)], "doc_id long, text string, lang string").repartition(4)
+    with_features(docs, MODEL).collect()
+
+    def learned(batches):
+        from millrace.llm import encode
+
+        for rows in batches:
+            yield pa.RecordBatch.from_pydict({"n": [sum(len(m.known) + len(m.known.old) for _, _, m in encode._held)]})
+
+    assert {r["n"] for r in spark.range(0, 64, 1, 8).mapInArrow(learned, "n long").collect()} == {0}
+
+
+def test_a_failed_task_forgets_too():
+    try:
+        with for_task(Pieces, MODEL) as model:
+            measure([prose(1, 50)], model)
+            assert model.known
+            raise KeyError
+    except KeyError:
+        assert not model.known and not model.known.old
