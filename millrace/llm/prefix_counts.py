@@ -23,18 +23,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.batches import batch, slices, texts
-from millrace.llm.encode import KNOWN_PIECES, LONGEST_KNOWN, Known, held, spaced_alone, spaced_pieces
+from millrace.llm.encode import KNOWN_PIECES, LONGEST_KNOWN, Known, byte_of_character, held, spaced_alone, spaced_pieces
 
 LONG_CONTRACTIONS = ("'re", "'ve", "'ll")
 
 
-def _byte_of_character() -> dict[str, int]:
-    """The printable stand-ins of byte-level vocabularies: bytes that print stand for themselves, the others follow from 256 on."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in plain]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
-
-
 class PrefixCounter:
     def __init__(self, path: str):
         import public_tokenizers
@@ -44,7 +37,7 @@ class PrefixCounter:
             spec = json.load(f)
         if (spec["pre_tokenizer"] or {}).get("type") != "ByteLevel" or spec["normalizer"] is not None:
             raise ValueError("prefix counts need a byte-level BPE tokenizer without normalizer")
-        byte = _byte_of_character()
+        byte = byte_of_character()
         plain = lambda token: bytes(byte[c] for c in token)
         self.vocabulary = {plain(t): i for t, i in spec["model"]["vocab"].items() if all(c in byte for c in t)}
         self.token = {i: t for t, i in self.vocabulary.items()}

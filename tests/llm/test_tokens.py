@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from millrace.llm.encode import encoder, tokenizer_path
+from millrace.llm.encode import LONGEST_RUN, Encoder, encoder, long_run, ranks, sure_characters, tokenizer_path
 from millrace.llm.packing import pack
 from millrace.llm.prefix_counts import PrefixCounter, count_at, count_prefixes, longest_within
 from millrace.llm.token_files import EliasFano, TokenReader, read_token_files, token_folder, write_token_files
@@ -39,12 +39,66 @@ def test_encoder_equals_library(path):
     assert got == [e.ids for e in enc.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_every_sure_character_is_read_alike(path):
+    rng, enc, sure = random.Random(3), encoder(path), list(map(chr, sure_characters()))
+    assert len(sure) > 30_000 and not {"\u03a3", "\u180e", "\u200b", "\x1c", "\x85"} & set(sure)
+    few = [c for c in sure if ord(c) < 0x2100]
+    texts = [f"a{c}b {c} {c}{c}\n{c}1 '{c} don't{c}  {c}" for c in sure]
+    texts += ["".join(rng.choice(few) + rng.choice(["", "", " ", "'s", "e\u0301", "\n "]) for _ in range(rng.randint(1, 60))) for _ in range(3000)]
+    assert all(enc.plain.takes(texts))
+    got = enc.plain.encode(texts)
+    for i in range(0, len(texts), 4000):
+        library = enc.tokenizer.encode_batch(texts[i : i + 4000], add_special_tokens=False)
+        assert got[i : i + 4000] == [e.ids for e in library]
+
+
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_ranks_join_as_the_merges_do(path):
+    """Words glued from two or three tokens, where merges meet across the seams."""
+    rng, enc = random.Random(4), encoder(path)
+    tokens = [t.replace("</w>", "").replace("\u0120", " ") for t in enc.tokenizer.get_vocab(with_added_tokens=False)]
+    tokens = [t for t in tokens if t.isascii()]
+    texts = ["".join(rng.choice(tokens) for _ in range(rng.randint(1, 3))) for _ in range(30_000)] + ["a" * n + "b" * (n % 7) for n in range(60)]
+    assert enc.plain.encode(texts) == [e.ids for e in enc.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
+def model(vocab, merges):
+    base = list(ranks_base())
+    names = base + vocab
+    plain = {k: None for k in ("dropout", "continuing_subword_prefix", "byte_fallback", "ignore_merges", "end_of_word_suffix")}
+    return plain | {"type": "BPE", "vocab": {t: i for i, t in enumerate(names)}, "merges": merges}
+
+
+def ranks_base():
+    from millrace.llm.encode import byte_of_character
+
+    return byte_of_character()
+
+
+def test_unreached_tokens_have_no_rank():
+    table = ranks(model(["aa", "ab", "aaa", "abb"], ["a a", "a b", "a aa", "ab b"]))
+    assert b"aaa" not in table and {b"aa", b"ab", b"abb"} <= set(table)
+    assert b"abc" not in ranks(model(["bc", "ab", "abc"], ["b c", "a b", "ab c"]))
+    assert ranks(model(["ab", "abc"], ["ab c", "a b"])) is None  # ids do not ascend with the merges
+
+
+def test_long_runs_are_told():
+    assert long_run("x" * LONGEST_RUN) and long_run("a b" + " \t" * LONGEST_RUN) and long_run("a " * 700 + "y" * 1200)
+    assert not long_run("") and not long_run("ab " * 5000) and not long_run("x" * (LONGEST_RUN - 1)) and not long_run("line\n" * 900)
+    enc = Encoder(BYTES)
+    texts = ["q" * 50_000, " " * 50_000, "ab" * 700 + " c", "\n" * 3000 + "d"]
+    assert enc.plain.takes(texts) == [False] * 4
+    assert [np.frombuffer(b, "<u2").tolist() for b in enc.encode(texts)] == [e.ids for e in enc.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
 def test_known_pieces_stay_bounded():
     enc = type(encoder(BYTES))(BYTES)
     enc.known.limit = 50
     texts = [f"word{i} and {i}" for i in range(500)]
     for i in range(0, 500, 20):
-        enc.encode(texts[i : i + 20])
+        enc._encode_cut(texts[i : i + 20])
+        assert len(enc.known) > 0
         assert len(enc.known) <= 50 and len(enc.known.old) <= 50
 
 
