@@ -120,6 +120,26 @@ def united_counts(sketches: DataFrame, columns: Sequence[str], by: Sequence[Colu
     return sketches.groupBy(*by).agg(F.sum("n_rows").alias("n_rows"), *united)
 
 
+def day_values(df: DataFrame, day: str, columns: Sequence[str]) -> DataFrame:
+    """Rows per day and value of each column, NULL among the values: a table to store and add to that loses nothing.
+
+    Values are kept as text, so that all columns share the table; it grows with the values of a day, not with its rows.
+    """
+    values = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns]
+    return df.select(day, F.inline(F.array(*values))).groupBy(day, "column", "value").agg(F.count("*").alias("n_rows"))
+
+
+def united_values(days: DataFrame, columns: Sequence[str], by: Sequence[Column] = ()) -> DataFrame:
+    """Rows and exact distinct values of several days from their ``day_values``; a group's values spread over tasks before they are counted."""
+    names = [f"_by{i}" for i in range(len(by))]
+    values = days.select(*[c.alias(n) for c, n in zip(by, names)], "column", "value", "n_rows")
+    once = values.groupBy(*names, "column", "value").agg(F.sum("n_rows").alias("n_rows"))
+    of = lambda c, out: F.when(F.col("column") == c, F.col(out))
+    counts = [F.count(of(c, "value")).alias(f"distinct_{c}") for c in columns]
+    united = once.groupBy(*names).agg(F.sum(of(columns[0], "n_rows")).alias("n_rows"), *counts)
+    return united.withColumnsRenamed(dict(zip(names, days.select(*by).columns)))
+
+
 def table_ratio(a: DataFrame, b: DataFrame, floor: float = 3.0) -> DataFrame:
     """Rows of two tables, their ratio, and whether it is below ``floor``."""
     one = F.count("*").alias("n")

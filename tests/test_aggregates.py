@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from millrace.operators import aggregates as agg
 from millrace.operators import text as txt
 from millrace.operators.ranking import numbered, top_k
+from millrace.plans import QUERIES
 from tests.plan_text import count, planned
 
 
@@ -94,6 +95,30 @@ def test_day_sketches_unite(spark, tmp_path):
     assert few.distinct_who == rows.where("who < 150").select("who").distinct().count()
 
 
+def test_day_values_unite_exactly(spark, tmp_path):
+    who = F.when(F.col("id") % 11 != 0, F.pmod(F.xxhash64("id"), F.lit(20_000)))
+    rows = spark.range(60_000).select((F.col("id") % 30).alias("day"), who.alias("who"), F.lit("x").alias("kind"))
+    agg.day_values(rows, "day", ["who", "kind"]).write.parquet(str(tmp_path / "v"))
+    values = spark.read.parquet(str(tmp_path / "v"))
+    want = rows.agg(F.count("*"), F.count_distinct("who"), F.lit(1)).first()
+    assert tuple(agg.united_values(values, ["who", "kind"]).first()) == tuple(want)
+    early = (F.col("day") < 15).alias("early")
+    halves = agg.united_values(values, ["who", "kind"], [early])
+    assert halves.columns == ["early", "n_rows", "distinct_who", "distinct_kind"]
+    exact = rows.groupBy(early).agg(F.count("*"), F.count_distinct("who"), F.count_distinct("kind"))
+    assert sorted(map(tuple, halves.collect())) == sorted(map(tuple, exact.collect()))
+
+
+def test_distinct_query_is_exact_with_many_users(spark, tmp_path):
+    """Far more users than a sketch counts exactly."""
+    ts = F.expr("timestampadd(MINUTE, id % 40000, TIMESTAMP_NTZ '2024-01-01 00:00:00')")
+    events = spark.range(30_000).select(F.col("id").alias("event_id"), ts.alias("ts"), F.pmod(F.xxhash64("id"), F.lit(7_000)).alias("user_id"), F.concat(F.lit("t"), F.col("id") % 5).alias("event_type"))
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    got = QUERIES["agg_distinct_approx"](spark, str(tmp_path)).select("month", "n_rows", "distinct_user_id", "distinct_event_type").collect()
+    want = events.groupBy(F.month("ts")).agg(F.count("*"), F.count_distinct("user_id"), F.count_distinct("event_type")).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+
+
 def test_four_ways_share_a_plan(spark, data):
     li = spark.read.parquet(f"{data}/lineitem.parquet")
     args = ("l_returnflag", "l_quantity", "l_extendedprice", 40.0)
