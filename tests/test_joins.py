@@ -211,3 +211,8 @@ def test_each_cut_of_the_sweep_runs_once(spark, monkeypatch):
     assert [label for label, _ in kept] == ["sweep-input", "sweep", "sweep"]
     for _, plan in kept[1:]:
         assert plan.split("== Initial Plan ==")[0].count("REPARTITION_BY_NUM") == 1 and plan.count("CollectMetrics") >= 1
+
+
+def test_partition_sizes_query_looks_at_the_hottest_key(spark, data):
+    row = QUERIES["partition_sizes"](spark, data).first()
+    assert row.holds_hottest is True and row.partitions == 8
