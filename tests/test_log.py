@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import log
 from millrace.operators.joins import difference
+from millrace.plans import QUERIES
 
 
 def records(spark, first, n):
@@ -93,6 +94,11 @@ def test_retention_moves_the_front_only(spark, topic):
     assert kept.agg(F.sum("bytes")).first()[0] == day.agg(F.sum(F.octet_length("value"))).first()[0]
 
 
+def test_earliest_offsets_query_keeps_a_week(spark, data):
+    kept = QUERIES["log_earliest_offsets"](spark, data).collect()
+    assert len(kept) == 4 and all(0 < r.earliest_offset < r.end_offset - 1 for r in kept)
+
+
 def test_groups_commit_lag_and_reset(spark, topic):
     rows, tops = log.read_log(spark, topic), log.end_offsets(spark, topic)
     none = spark.createDataFrame([], "`group` STRING, partition INT, current BIGINT")
