@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import alerts
+from millrace.plans import QUERIES
 from millrace.streaming import streams
 from tests.plan_text import planned
 
@@ -181,3 +182,10 @@ def test_running_totals_survive_a_restart(spark, tmp_path):
     assert kept == list(range(kept[-1] - 2, kept[-1] + 1))  # older totals are gone
     got = {r.user_id: r.n for r in streams.latest_totals(spark, str(tmp_path / "out")).collect()}
     assert sum(got.values()) == 25 and got[1] == want[1.0]
+
+
+def test_alert_query_looks_back_as_far_as_an_entity_has_rows(spark, tmp_path):
+    """A fall against a row of weeks ago, carried over two runs."""
+    rows = [(1, dt.datetime(2024, 1, 2), 7, 9.0), (2, dt.datetime(2024, 1, 29), 7, 1.0), (3, dt.datetime(2024, 1, 15), 8, 1.0)]
+    spark.createDataFrame(rows, "event_id LONG, ts TIMESTAMP_NTZ, user_id LONG, value DOUBLE").write.parquet(str(tmp_path / "events.parquet"))
+    assert [tuple(r) for r in QUERIES["stream_alert"](spark, str(tmp_path)).collect()] == [(2, 7, 9.0, 1.0)]
