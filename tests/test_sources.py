@@ -64,6 +64,15 @@ def test_text_reader_is_pinned_but_grows(spark, tmp_path, conf):
     assert files.scan_text(spark, path, splits_per_task=2).rdd.getNumPartitions() == -(-splits // 2)
 
 
+def test_text_tasks_read_five_splits_at_most(spark, tmp_path, conf):
+    spark.range(100).select(F.col("id").cast("string")).repartition(100).write.text(str(tmp_path / "t"))
+    conf(files__openCostInBytes="128MB")
+    lines = files.scan_text(spark, str(tmp_path / "t"))
+    per_task = lines.groupBy(F.spark_partition_id()).agg(F.count_distinct("_metadata.file_path").alias("n"))
+    assert per_task.agg(F.max("n")).first()[0] <= 5
+    assert lines.count() == 100
+
+
 def test_bad_event_lines_go(spark, tmp_path):
     with gzip.open(tmp_path / "hour.json.gz", "wt") as f:
         f.write("\n".join(RAW) + "\n")
