@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+from math import ceil
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +42,11 @@ def in_files(df: DataFrame, n: int, shuffle: bool = True) -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str) -> None:
+def files_for(stored: int, least: int, each: int = 32 << 20) -> int:
+    """How many files a table of ``stored`` Parquet bytes is cut into, so that a task sorts rows of ``each`` bytes; at least ``least``."""
+    return max(least, ceil(stored / each))
+
+
     df.write.mode("overwrite").parquet(path)
 
 
