@@ -25,11 +25,11 @@ CODECS = {
 def spread(scan: DataFrame) -> DataFrame:
     """A stored table in fewer splits than cores, dealt out over the cores; for work that costs more than moving it.
 
-    A table with enough splits stays as it is. Only for plain scans: the number of
-    splits of a derived frame is not known before it runs.
+    A table with splits for half of the cores stays as it is: to sort and move all of a large one for the
+    other half costs more. Only for plain scans: the number of splits of a derived frame is not known before it runs.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+    return scan.repartition(cores) if 2 * scan.rdd.getNumPartitions() < cores else scan
 
 
 def in_files(df: DataFrame, n: int, shuffle: bool = True) -> DataFrame:
