@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
-
 from math import ceil
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,12 +42,12 @@ def in_files(df: DataFrame, n: int, shuffle: bool = True) -> DataFrame:
     return df.repartition(n) if shuffle or df.rdd.getNumPartitions() < n else df.coalesce(n)
 
 
-def write_table(df: DataFrame, path: str) -> None:
 def files_for(stored: int, least: int, each: int = 32 << 20) -> int:
     """How many files a table of ``stored`` Parquet bytes is cut into, so that a task sorts rows of ``each`` bytes; at least ``least``."""
     return max(least, ceil(stored / each))
 
 
+def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
@@ -84,15 +85,23 @@ def folder_count(df: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def codec_sweep(df: DataFrame, out: str, n: int = 4) -> DataFrame:
-    """Write ``df`` as plain CSV and in every format of ``CODECS``; rows read back, files, sizes and ratios against plain CSV."""
+    """Write ``df`` as plain CSV and in every format of ``CODECS``; rows read back, files, sizes and ratios against plain CSV.
+
+    Each format is a job of ``n`` tasks, one a file; the jobs run side by side, so that they fill more than ``n`` cores.
+    """
     spark = df.sparkSession
     spread = in_files(df, n, shuffle=False)
-    spread.write.mode("overwrite").option("header", True).csv(f"{out}/csv_plain")
-    plain = path_size(spark, f"{out}/csv_plain").first()["bytes"]
-    sizes = []
-    for name, (fmt, codec) in CODECS.items():
+
+    def write(name: str, fmt: str, codec: str) -> None:
         writer = spread.write.mode("overwrite").format(fmt).option("compression", codec)
         (writer.option("header", True) if fmt == "csv" else writer).save(f"{out}/{name}")
+
+    formats = {"csv_plain": ("csv", "none")} | CODECS
+    with ThreadPoolExecutor(len(formats)) as pool:
+        list(pool.map(lambda name: write(name, *formats[name]), formats))
+    plain = path_size(spark, f"{out}/csv_plain").first()["bytes"]
+    sizes = []
+    for name, (fmt, _) in CODECS.items():
         back = (spark.read.option("header", True).csv if fmt == "csv" else spark.read.parquet)(f"{out}/{name}")
         rows = back.agg(F.count("*")).scalar()
         sizes.append(path_size(spark, f"{out}/{name}").select("*", F.lit(name).alias("format"), rows.alias("rows")))
