@@ -1,7 +1,10 @@
+import time
+
 from pyspark.sql import functions as F
 
 from millrace.operators.aggregates import entity_avg, month_count
 from millrace.operators.facts import with_dates
+from millrace.plans import QUERIES, inputs
 from millrace.sources import layout
 from millrace.sources.footers import parquet_footers
 from tests.plan_text import files_read, planned
@@ -94,3 +97,51 @@ def test_small_files(spark, tmp_path):
     assert len(files_in(tmp_path / "s")) == 25
     ids = spark.read.schema("id BIGINT").option("header", True).csv(str(tmp_path / "s"))
     assert ids.agg(F.count("*"), F.max("id")).first()[:] == (100, 99)
+
+
+def test_spread_leaves_tables_with_splits_for_half_of_the_cores(spark, tmp_path, conf):
+    cores = spark.sparkContext.defaultParallelism
+    conf(files__openCostInBytes=str(128 << 20))
+    spark.range(100).repartition(cores - 1).write.parquet(str(tmp_path / "most"))
+    assert "Exchange" not in planned(layout.spread(spark.read.parquet(str(tmp_path / "most"))))
+
+
+def test_flat_fact_is_written_without_a_shuffle(spark, tmp_path, conf):
+    conf(files__openCostInBytes=str(128 << 20))
+    rows = spark.range(400).select("id", F.expr("timestampadd(DAY, id, TIMESTAMP_NTZ '2024-01-01 10:00:00')").alias("l_shipdate"))
+    rows.repartition(20).write.parquet(str(tmp_path / "lineitem.parquet"))
+    flat = spark.read.parquet(inputs.flat_fact(spark, str(tmp_path)))
+    assert len(flat.inputFiles()) == 20 and flat.count() == 400
+
+
+def test_clustered_files_grow_with_the_table():
+    assert [layout.files_for(b << 20, 8) for b in (1, 256, 640, 3840)] == [8, 8, 20, 120]
+
+
+def test_codecs_are_written_side_by_side(spark, tmp_path, monkeypatch):
+    writer, running, most = type(spark.range(1).write), [], []
+    real = writer.save
+
+    def save(self, *args, **options):
+        running.append(1)
+        most.append(len(running))
+        time.sleep(0.5)
+        real(self, *args, **options)
+        running.pop()
+
+    monkeypatch.setattr(writer, "save", save)
+    rows = {r.format: (r.rows, r.files) for r in layout.codec_sweep(spark.range(5000), str(tmp_path)).collect()}
+    assert rows == {name: (5000, 4) for name in layout.CODECS}
+    assert max(most) > 1
+
+
+def test_few_files_are_alike_in_size(spark, tmp_path, conf):
+    conf(files__openCostInBytes=str(128 << 20))
+    path = str(tmp_path / "lineitem.parquet")
+    spark.range(20_000).coalesce(1).write.parquet(path)
+    spark.range(70).repartition(7).write.mode("append").parquet(path)
+    got = QUERIES["sink_file_counts"](spark, str(tmp_path))
+    assert sorted(map(tuple, got.collect())) == [(4, 20_070), (400, 20_070)]
+    few = [f for f in got.inputFiles() if "/4/" in f]
+    sizes = [spark.read.parquet(f).count() for f in few]
+    assert len(few) == 4 and max(sizes) < 2 * min(sizes)
