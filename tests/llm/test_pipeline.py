@@ -6,6 +6,8 @@ from millrace.llm.decontam import contaminated
 from millrace.llm.encode import tokenizer_path
 from millrace.llm.fertility import judged, with_features
 from millrace.llm.ngram_join import ngram_components
+from millrace.session import SHUFFLES_GO, shared_path, stored
+from millrace.sources.storage import names
 from tests.llm.edge_rows import edge_docs, no_docs
 
 
@@ -38,3 +40,22 @@ def test_edge_rows_pass_every_stage(spark, data):
             assert after.columns == docs.columns
             assert after.count() <= docs.count()
         assert corpus_pipeline.STAGES[-1][1](spark, docs, data).count() >= docs.count()
+
+
+def test_tables_on_the_way_go_once_the_result_is_stored(spark, data):
+    """What a stage stored for itself only does not lie on the disk while the next ones run."""
+    folder = shared_path(spark, "x").rpartition("/")[0]
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    for name, kept in (("n-gram Jaccard join", "gone"), ("substring dedup", "spans")):
+        before = set(names(spark, folder))
+        after = dict(corpus_pipeline.STAGES)[name](spark, docs, data)
+        assert after.count() <= docs.count()
+        assert [n.rpartition("-")[0] for n in set(names(spark, folder)) - before] == [kept]
+
+
+def test_shuffles_go_once_a_table_is_stored(spark):
+    wide = spark.range(1000).repartition(3, "id")
+    before = spark.conf.get(SHUFFLES_GO)
+    again = stored(wide)
+    assert spark.conf.get(SHUFFLES_GO) == before
+    assert sorted(r.id for r in again.collect()) == list(range(1000)) and wide.count() == 1000
