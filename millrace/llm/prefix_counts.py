@@ -14,7 +14,8 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from operator import sub
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +24,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.batches import batch, slices, texts
-from millrace.llm.encode import KNOWN_PIECES, LONGEST_KNOWN, Known, byte_of_character, held, spaced_alone, spaced_pieces
+from millrace.llm.encode import KNOWN_PIECES, LONGEST_KNOWN, Known, byte_of_character, held, ranks, spaced_alone, spaced_pieces
 
+KNOWN_PAIRS = 1_000_000
 LONG_CONTRACTIONS = ("'re", "'ve", "'ll")
 
 
@@ -43,7 +45,8 @@ class PrefixCounter:
         self.token = {i: t for t, i in self.vocabulary.items()}
         pairs = (m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"])
         self.merge = {(plain(a), plain(b)): rank for rank, (a, b) in enumerate(pairs)}
-        self.longest = max(map(len, self.vocabulary))
+        self.single = self._joined(spec["model"])
+        self.ending = self._automaton()
         self.special = [t["content"] for t in spec["added_tokens"]]
         self.next_special = re.compile("|".join(map(re.escape, sorted(self.special))) or r"(?!)").search
         self.pretokens = regex.compile(public_tokenizers.PATTERN).findall
@@ -51,6 +54,30 @@ class PrefixCounter:
         self.known = Known(self._learn, 600_000)
         self.words: dict[str, list[int]] = {}
 
+    @staticmethod
+    def _joined(model: dict) -> Callable[[bytes], list[int]] | None:
+        """The ids of a run of bytes from tiktoken, if it joins them as the merges do."""
+        import tiktoken
+
+        table = ranks(model) if model["type"] == "BPE" else None
+        if table is None:
+            return None
+        return tiktoken.Encoding("joined", pat_str=r"\S+", mergeable_ranks=table, special_tokens={})._encode_single_piece
+
+    def _automaton(self):
+        """Finds the tokens that end at each byte, in one pass; without those that the merges never leave."""
+        import ahocorasick
+
+        found = ahocorasick.Automaton()
+        for token, i in self.vocabulary.items():
+            if token and self.parted(token) == [token]:
+                found.add_word(token.decode("latin-1"), (len(token), i))
+        found.make_automaton()
+        return found.iter
+
+    def parted(self, data: bytes) -> list[bytes]:
+        return [self.token[i] for i in self.single(data)] if self.single else self.merged(data)
+
     def merged(self, data: bytes) -> list[bytes]:
         """Apply the merges to a short run of bytes, lowest rank first."""
         parts = [data[i : i + 1] for i in range(len(data))]
@@ -69,22 +96,23 @@ class PrefixCounter:
         known = self.side_by_side.get(key)
         if known is None:
             parts = [self.token[token]] if before < 0 else [self.token[before], self.token[token]]
-            known = self.side_by_side[key] = self.merged(b"".join(parts)) == parts
+            if len(self.side_by_side) >= KNOWN_PAIRS:
+                self.side_by_side.clear()
+            known = self.side_by_side[key] = self.parted(b"".join(parts)) == parts
         return known
 
     def table(self, data: bytes) -> list[int]:
         """Token counts of all prefixes of one pre-token's bytes."""
-        find, longest, seen, may = self.vocabulary.get, self.longest, self.side_by_side, self.may_follow
-        counts, last = [0], [-1]
-        for end in range(1, len(data) + 1):
-            for start in range(max(0, end - longest), end):
-                token = find(data[start:end])
-                if token is not None:
-                    pair = (last[start], token)
-                    if seen[pair] if pair in seen else may(*pair):
-                        counts.append(counts[start] + 1)
-                        last.append(token)
-                        break
+        seen, may = self.side_by_side, self.may_follow
+        counts, last, ends = [0], [-1], 0
+        for at, (size, token) in self.ending(data.decode("latin-1")):
+            if at < ends:  # this prefix has its token
+                continue
+            pair = (last[at + 1 - size], token)
+            if seen[pair] if pair in seen else may(*pair):
+                counts.append(counts[at + 1 - size] + 1)
+                last.append(token)
+                ends = at + 1
         return counts
 
     def pretoken(self, word: str) -> list[int]:
@@ -139,11 +167,21 @@ class PrefixCounter:
             start = at + len(string)
 
     def _learn(self, pieces: list[str]) -> list[bytes | None]:
-        return [self._steps(self.ordinary(p)) if spaced_alone(p) else None for p in pieces]
+        out: list[bytes | None] = []
+        for piece in pieces:
+            if not spaced_alone(piece):
+                out.append(None)
+                continue
+            words = self.pretokens(piece)
+            out.append(self._steps(self.pretoken(piece) if len(words) == 1 else self.ordinary(piece)))
+        return out
 
     @staticmethod
     def _steps(counts: list[int]) -> bytes:
-        return bytes([(b - a) & 255 for a, b in zip([0, *counts], counts)])
+        try:
+            return bytes(map(sub, counts, [0, *counts]))
+        except ValueError:  # a count that falls
+            return bytes([(b - a) & 255 for a, b in zip([0, *counts], counts)])
 
     def steps(self, texts: list[str]) -> list[bytes]:
         """For each text, one signed byte for each character: how much it adds to the token count."""
